@@ -1,0 +1 @@
+"""File-stream landing of the hourly event files."""
