@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forgepulse.session import settings
 from forgepulse.sources.lake import lake_day_dir
@@ -70,8 +71,8 @@ def create_if_absent(
     spark: SparkSession, table: str, columns: str, partition_by: str = DAY
 ) -> None:
     """Create an empty table partitioned by day unless it exists; `columns` is DDL."""
-    names = [part.split()[0] for part in columns.split(", ")]
-    day = "" if partition_by in names else f", {partition_by} DATE"
+    given = T.StructType.fromDDL(columns).names
+    day = "" if partition_by in given else f", {partition_by} DATE"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}{day}) "
         f"USING parquet PARTITIONED BY ({partition_by})"

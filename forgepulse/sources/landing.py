@@ -64,11 +64,17 @@ def incomplete_days(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def missing_report(expected: DataFrame, landed: DataFrame, shown: int = 10) -> DataFrame:
-    """The first missing names, each with how many are missing in all."""
+    """(filename, files): the first missing names in order, then the number left over."""
     missing = missing_files(expected, landed)
-    total = missing.agg(F.count("*").alias("missing_files"))
-    first = missing.orderBy("filename").limit(shown)
-    return first.join(F.broadcast(total))
+    named = missing.orderBy("filename").limit(shown).select(
+        "filename", F.lit(1).cast("bigint").alias("files")
+    )
+    rest = (
+        missing.agg((F.count("*") - shown).alias("files"))
+        .where("files > 0")
+        .select(F.lit(None).cast("string").alias("filename"), "files")
+    )
+    return named.unionByName(rest)
 
 
 def audit(
@@ -120,27 +126,24 @@ def require_readable(spark: SparkSession, landing_dir: str) -> int:
         return spark.read.option("pathGlobFilter", FILES).text(landing_dir).count()
 
 
-def require_sound(issues: DataFrame) -> list[str]:
-    """Raise on errors; return the first warnings as text.
+def require_sound(issues: DataFrame, shown: int = 10) -> list[str]:
+    """Raise if there is an error; otherwise the first missing files as text.
 
-    At most 24 rows per day of the window, plus the small files, come to the driver
-    as counts; only ten names of each kind are fetched.
+    Only counts and `shown` names are fetched, however many files have an issue.
     """
-    counts = {
-        (row.severity, row.issue): (row.files, row.first)
-        for row in issues.groupBy("severity", "issue")
-        .agg(
-            F.count("*").alias("files"),
-            F.slice(F.array_sort(F.collect_list("filename")), 1, 10).alias("first"),
-        )
-        .collect()
-    }
-    messages = {
-        key: f"{issue}: {files} file(s), such as {', '.join(first)}" if first else issue
-        for key, (files, first) in counts.items()
-        for issue in [key[1]]
-    }
-    errors = [text for (severity, _), text in messages.items() if severity == ERROR]
+    counts = issues.groupBy("severity", "issue").agg(
+        F.count("*").alias("files"), F.min("filename").alias("first")
+    ).collect()
+    errors = [
+        f"{row.issue}: {row.files} file(s), first {row.first}" if row.first else row.issue
+        for row in counts
+        if row.severity == ERROR
+    ]
     if errors:
         raise LandingError("; ".join(errors))
-    return list(messages.values())
+    if not counts:
+        return []
+    names = issues.orderBy("filename").limit(shown).collect()
+    total = sum(row.files for row in counts)
+    lines = [f"missing file: {row.filename}" for row in names]
+    return lines + [f"and {total - shown} more missing files"] * (total > shown)
