@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LABEL_FORMAT = "MMM dd"
@@ -27,6 +27,11 @@ def each_day(start: Column | date, end: Column | date) -> Column:
     return F.explode(F.when(first <= last, F.sequence(first, last)))
 
 
+def calendar(spark: SparkSession, start: date, end: date, name: str = "day") -> DataFrame:
+    """One row per day of a closed range."""
+    return spark.range(1).select(each_day(start, end).alias(name))
+
+
 def day_label(day: Column) -> Column:
     return F.date_format(day, LABEL_FORMAT)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -20,34 +20,38 @@ class CheckFailed(RuntimeError):
 @dataclass(frozen=True)
 class Check:
     name: str
-    rule: Column
+    rule: Callable[[], Column]
     on_empty: bool  # the verdict on a table, or a day, without rows
 
 
 def row_count_positive() -> Check:
-    return Check("row_count_positive", F.count("*") > 0, False)
+    return Check("row_count_positive", lambda: F.count("*") > 0, False)
 
 
 def complete(column: str) -> Check:
-    return Check(f"complete({column})", F.count("*") == F.count(column), True)
+    return Check(f"complete({column})", lambda: F.count("*") == F.count(column), True)
 
 
 def not_null(column: str) -> Check:
-    return Check(f"not_null({column})", F.count_if(F.col(column).isNull()) == 0, True)
+    return Check(f"not_null({column})", lambda: F.count_if(F.col(column).isNull()) == 0, True)
 
 
 def min_positive(column: str) -> Check:
     """Also fails when the column has no value at all."""
-    return Check(f"min_positive({column})", F.min(column) > 0, False)
+    return Check(f"min_positive({column})", lambda: F.min(column) > 0, False)
 
 
 def ordered_range(low: str, high: str) -> Check:
-    ordered = F.count(F.when(F.col(low) <= F.col(high), 1))
-    return Check(f"ordered_range({low},{high})", F.count("*") == ordered, True)
+    def rule() -> Column:
+        return F.count("*") == F.count(F.when(F.col(low) <= F.col(high), 1))
+
+    return Check(f"ordered_range({low},{high})", rule, True)
 
 
 def unique_key(column: str) -> Check:
-    return Check(f"unique_key({column})", F.count("*") == F.count_distinct(column), True)
+    return Check(
+        f"unique_key({column})", lambda: F.count("*") == F.count_distinct(column), True
+    )
 
 
 def unique_grain(*columns: str, mode: str = "struct") -> Check:
@@ -56,15 +60,17 @@ def unique_grain(*columns: str, mode: str = "struct") -> Check:
     `mode="concat"` compares the joined text instead, which takes ('ab', 'c') and
     ('a', 'bc') for the same key.
     """
-    name = f"unique_grain({','.join(columns)})"
-    if mode == "concat":
-        joined = F.concat(*(F.col(c).cast("string") for c in columns))
-        return Check(name, F.count("*") == F.count_distinct(joined), True)
-    if mode != "struct":
-        raise ValueError(f"unknown mode {mode!r}")
-    any_null = reduce(Column.__or__, (F.col(c).isNull() for c in columns))
-    distinct = F.count("*") == F.count_distinct(F.struct(*columns))
-    return Check(name, distinct & (F.count_if(any_null) == 0), True)
+    def joined() -> Column:
+        text = F.concat(*(F.col(c).cast("string") for c in columns))
+        return F.count("*") == F.count_distinct(text)
+
+    def exact() -> Column:
+        any_null = reduce(Column.__or__, (F.col(c).isNull() for c in columns))
+        distinct = F.count("*") == F.count_distinct(F.struct(*columns))
+        return distinct & (F.count_if(any_null) == 0)
+
+    rules = {"struct": exact, "concat": joined}
+    return Check(f"unique_grain({','.join(columns)})", rules[mode], True)
 
 
 def _measures(*columns: str) -> list[Check]:
@@ -127,7 +133,7 @@ REBUILD_CHECKS = {
 
 def _verdicts(checks: Sequence[Check]) -> list[Column]:
     return [
-        F.coalesce(c.rule, F.lit(c.on_empty)).alias(f"_{i}") for i, c in enumerate(checks)
+        F.coalesce(c.rule(), F.lit(c.on_empty)).alias(f"_{i}") for i, c in enumerate(checks)
     ]
 
 

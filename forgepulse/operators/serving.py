@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.config import LOOKBACK_DAYS
-from forgepulse.functions.columns import day_label, each_day, event_day, short_name
+from forgepulse.functions.columns import calendar, day_label, event_day, short_name
 from forgepulse.operators.staging import for_repo, in_days
 
 TOP_N = 5
@@ -75,9 +75,9 @@ def activity_zero_filled(
     if metric not in ("total_events", "unique_actors"):
         raise ValueError(f"unknown metric {metric!r}")
     daily = _daily(selected, start, end, repo).select("event_date", metric)
-    calendar = selected.sparkSession.range(1).select(each_day(start, end).alias("event_date"))
+    every_day = calendar(selected.sparkSession, start, end, "event_date")
     return (
-        calendar.join(F.broadcast(daily), "event_date", "left")
+        every_day.join(F.broadcast(daily), "event_date", "left")
         .select(
             "event_date",
             F.coalesce(metric, F.lit(0)).cast("bigint").alias(metric),

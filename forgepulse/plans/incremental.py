@@ -14,7 +14,7 @@ from forgepulse.operators import checks, marts
 from forgepulse.operators.staging import select_repos, stage_events_by_day
 from forgepulse.session import prepare, size_shuffles
 from forgepulse.sinks import loads
-from forgepulse.sources.lake import lake_day_dir, scan_lake_days
+from forgepulse.sources.lake import lake_day_dir, scan_days
 
 DAILY_MARTS = {
     "mart_repo_daily_activity": (
@@ -41,6 +41,8 @@ def create_tables(spark: SparkSession, tables: Tables) -> None:
 
 
 def _check_days(spark: SparkSession, tables: Tables, name: str, days: Sequence[date]) -> None:
+    if not days:
+        return
     results = checks.run_checks_by_day(
         spark.table(tables[name]), checks.DAY_CHECKS[name], days
     )
@@ -57,17 +59,16 @@ def lake_bytes(spark: SparkSession, lake_root: str, days: Sequence[date]) -> int
 def load_raw_days(
     spark: SparkSession, lake_root: str, tables: Tables, days: Sequence[date],
     allow_empty: bool = False,
-) -> None:
+) -> list[date]:
     """Copy days from the lake to the raw table, by the events' own day.
 
     Only events of a loaded day are taken: one that arrived in another day's directory
-    is left out, unless that day is loaded too.
+    is left out, unless that day is loaded too. Returns the days that had events.
     """
-    source = scan_lake_days(spark, lake_root, min(days), max(days)).withColumn(
-        loads.DAY, F.to_date("created_at")
-    )
-    loads.create_like(source, tables["raw_events"])
-    loads.replace_days(source, tables["raw_events"], days, None, allow_empty)
+    events = scan_days(spark, lake_root, days).drop("year", "month", "day")
+    events = events.withColumn(loads.DAY, F.to_date("created_at"))
+    loads.create_like(events, tables["raw_events"])
+    return loads.replace_days(events, tables["raw_events"], days, None, allow_empty)
 
 
 def run_days(
@@ -91,20 +92,19 @@ def run_days(
     create_tables(spark, tables)
     size_shuffles(spark, lake_bytes(spark, lake_root, days))
 
-    load_raw_days(spark, lake_root, tables, days, allow_empty)
+    filled = load_raw_days(spark, lake_root, tables, days, allow_empty)
     loaded = F.col(loads.DAY).isin(days)
 
     staged = stage_events_by_day(spark.table(tables["raw_events"]).where(loaded))
     loads.replace_days(staged, tables["stg_events"], days, ["repo_name"], allow_empty)
-    _check_days(spark, tables, "stg_events", days)
+    _check_days(spark, tables, "stg_events", filled)
 
-    selected = select_repos(spark.table(tables["stg_events"]).where(loaded), repos)
     # A day may hold no listed repository; its check, not its load, decides on that.
+    selected = select_repos(spark.table(tables["stg_events"]).where(loaded), repos)
     loads.replace_days(
         selected, tables["stg_selected_events"], days, ["repo_name"], allow_empty=True
     )
-    if not allow_empty:
-        _check_days(spark, tables, "stg_selected_events", days)
+    _check_days(spark, tables, "stg_selected_events", filled)
 
     selected = spark.table(tables["stg_selected_events"])
     for name, (build, _, keys, cluster_by) in DAILY_MARTS.items():
@@ -113,8 +113,7 @@ def run_days(
             loads.upsert_days(new, tables[name], keys, days, cluster_by)
         else:
             loads.replace_days(new, tables[name], days, cluster_by, allow_empty=True)
-        if not allow_empty:
-            _check_days(spark, tables, name, days)
+        _check_days(spark, tables, name, filled)
 
     for name, build in REBUILT_MARTS.items():
         loads.full_rebuild(build(selected), tables[name])

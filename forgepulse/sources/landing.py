@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.config import HOURS_PER_DAY, MIN_FILE_BYTES
-from forgepulse.functions.columns import base_name, each_day, file_day, hourly_file_name
+from forgepulse.functions.columns import base_name, calendar, file_day, hourly_file_name
 from forgepulse.session import settings
 from forgepulse.sources.ndjson import FILES
 
@@ -22,7 +22,7 @@ class LandingError(RuntimeError):
 def expected_files(spark: SparkSession, start: date, end: date) -> DataFrame:
     """(file_date, hour, filename) for every hour of the range."""
     hours = F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1)))
-    days = spark.range(1).select(each_day(start, end).alias("file_date"))
+    days = calendar(spark, start, end, "file_date")
     return days.select("file_date", hours.alias("hour")).withColumn(
         "filename", hourly_file_name(F.col("file_date"), F.col("hour"))
     )
