@@ -29,7 +29,7 @@ def each_day(start: Column | date, end: Column | date) -> Column:
 
 def calendar(spark: SparkSession, start: date, end: date, name: str = "day") -> DataFrame:
     """One row per day of a closed range."""
-    return spark.range(1).select(each_day(start, end).alias(name))
+    return spark.range(0, 1, 1, 1).select(each_day(start, end).alias(name))
 
 
 def day_label(day: Column) -> Column:

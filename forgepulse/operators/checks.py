@@ -164,7 +164,7 @@ def run_checks_by_day(df: DataFrame, checks: Sequence[Check], days: Sequence[dat
     per_day = (
         df.where(day.isin(list(days))).groupBy(day.alias("event_date")).agg(*_verdicts(checks))
     )
-    listed = df.sparkSession.range(1).select(
+    listed = df.sparkSession.range(0, 1, 1, 1).select(
         F.explode(F.array(*map(F.lit, days))).alias("event_date")
     )
     wide = listed.join(F.broadcast(per_day), "event_date", "left")

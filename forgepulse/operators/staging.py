@@ -49,14 +49,21 @@ def dedup_latest(
     return events.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-def stage_events(raw: DataFrame, since: date | None = None) -> DataFrame:
+def stage_events(
+    raw: DataFrame, since: date | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Staging over the whole input.
 
-    Flattening first keeps payloads out of the shuffle. With `since`, only events of
-    that day or later are returned, and older copies are left out before the shuffle:
-    a key whose latest copy is older has no result, and any other key keeps its latest.
+    Flattening first keeps payloads out of the shuffle, and `columns` limits it to what
+    is asked for besides the key and the columns that order copies. With `since`, only
+    events of that day or later are returned, and older copies are left out before the
+    shuffle: a key whose latest copy is older has no result, and any other key keeps
+    its latest.
     """
     events = flatten_event(raw)
+    if columns is not None:
+        needed = {"event_id", "created_at", "filename", "event_date", *columns}
+        events = events.select(*(c for c in events.columns if c in needed))
     if since is not None:
         events = events.where(event_day(events) >= F.lit(since))
     return dedup_latest(events)

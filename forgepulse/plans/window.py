@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.config import MIN_FILE_BYTES, SELECTED_REPOS, DayRange, Tables
+from forgepulse.functions.columns import base_name, file_day
 from forgepulse.operators import checks, marts
 from forgepulse.operators.staging import select_repos, stage_events
 from forgepulse.session import prepare, size_shuffles
@@ -18,6 +20,8 @@ from forgepulse.sources.ndjson import scan_ndjson
 
 log = logging.getLogger(__name__)
 
+FILE_DAY = "file_date"
+
 MARTS: dict[str, tuple[Callable[[DataFrame], DataFrame], str | None, Sequence[str]]] = {
     "mart_repo_daily_activity": (marts.daily_activity, loads.DAY, ["repo_name"]),
     "mart_repo_daily_event_type_activity": (
@@ -28,14 +32,18 @@ MARTS: dict[str, tuple[Callable[[DataFrame], DataFrame], str | None, Sequence[st
 }
 
 
+def _landed_in(spark: SparkSession, landing_dir: str, window: DayRange) -> DataFrame:
+    expected = landing.expected_files(spark, window.start, window.end)
+    landed = landing.landed_files(spark, landing_dir)
+    return landed.join(expected.select("filename"), "filename", "left_semi")
+
+
 def audit_landing(
     spark: SparkSession, landing_dir: str, window: DayRange, min_bytes: int = MIN_FILE_BYTES
 ) -> int:
     """Stop on unsound files, warn about missing hours, return the bytes of the window."""
     expected = landing.expected_files(spark, window.start, window.end)
-    landed = landing.landed_files(spark, landing_dir).join(
-        expected.select("filename"), "filename", "left_semi"
-    )
+    landed = _landed_in(spark, landing_dir, window)
     for line in landing.require_sound(landing.audit(expected, landed, min_bytes)):
         log.warning(line)
     return landed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
@@ -47,6 +55,37 @@ def _checked(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
     return table
 
 
+def changed_days(landed: DataFrame, raw: DataFrame) -> list[date]:
+    """Days whose landed files are not the ones the raw table was loaded from.
+
+    Reads the file name column of the raw table only, and fetches the days.
+    """
+    loaded = raw.select(base_name(F.col("filename")).alias("filename")).distinct()
+    landed = landed.select("filename")
+    new = landed.join(loaded, "filename", "left_anti")
+    gone = loaded.join(landed, "filename", "left_anti")
+    days = new.unionByName(gone).select(file_day(F.col("filename")).alias("day")).distinct()
+    return sorted(row.day for row in days.collect() if row.day is not None)
+
+
+def refresh_raw(spark: SparkSession, landing_dir: str, table: str, window: DayRange) -> None:
+    """Bring the raw table to the files of the window.
+
+    Days outside of it are dropped, and only days with new or removed files are parsed
+    again, so a daily run decompresses one day rather than the whole window.
+    """
+    if not spark.catalog.tableExists(table):
+        raw = scan_ndjson(spark, landing_dir, window)
+        loads.full_rebuild(raw, table, FILE_DAY, cluster_by=None)
+        return
+    loads.retain_days(spark, table, window.start, window.end, FILE_DAY)
+    landed = _landed_in(spark, landing_dir, window)
+    days = changed_days(landed, spark.table(table))
+    if days:
+        raw = scan_ndjson(spark, landing_dir, DayRange(days[0], days[-1]))
+        loads.replace_days(raw, table, days, None, allow_empty=True, partition_by=FILE_DAY)
+
+
 def run_window(
     spark: SparkSession,
     landing_dir: str,
@@ -67,8 +106,9 @@ def run_window(
     size_shuffles(spark, audit_landing(spark, landing_dir, window, min_bytes))
 
     if raw is None:
-        raw = scan_ndjson(spark, landing_dir, window)
-    loads.full_rebuild(raw, tables["raw_events"], "file_date", cluster_by=None)
+        refresh_raw(spark, landing_dir, tables["raw_events"], window)
+    else:
+        loads.full_rebuild(raw, tables["raw_events"], FILE_DAY, cluster_by=None)
     raw = _checked(spark, tables, "raw_events")
 
     build_from_raw(spark, raw, tables, repos)

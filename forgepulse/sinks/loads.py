@@ -5,7 +5,7 @@ The built-in catalog has no MERGE or DELETE, so days are replaced as partitions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date
 from functools import reduce
 
@@ -29,13 +29,12 @@ class EmptyDay(RuntimeError):
     """A day to be replaced has no new rows."""
 
 
-def clustered(df: DataFrame, cluster_by: Sequence[str], partition_by: str = DAY) -> DataFrame:
-    """Files of even size, each with few days and few values of the first cluster column.
+def spread(df: DataFrame, cluster_by: Sequence[str], partition_by: str = DAY) -> DataFrame:
+    """Rows in tasks of even size, each with few days and values of the cluster column.
 
-    Rows are spread by day and by a bucket of that column, and adaptive execution
-    splits what is too big for a file (a day or repository with a third of all rows)
-    and merges what is too small. Rows sorted inside a file let a filter on the
-    cluster columns skip most of its pages.
+    Rows are spread by day and by a bucket of the first cluster column, and adaptive
+    execution splits what is too big for a file (a day or repository with a third of
+    all rows) and merges what is too small.
     """
     if not cluster_by:
         return df.hint("rebalance", partition_by)
@@ -44,10 +43,14 @@ def clustered(df: DataFrame, cluster_by: Sequence[str], partition_by: str = DAY)
         df.withColumn("_bucket", bucket)
         .hint("rebalance", partition_by, "_bucket")
         .drop("_bucket")
-        .sortWithinPartitions(partition_by, *cluster_by)
     )
 
 
+def clustered(df: DataFrame, cluster_by: Sequence[str], partition_by: str = DAY) -> DataFrame:
+    """Spread rows, sorted so that a filter on the cluster columns skips most pages."""
+    return spread(df, cluster_by, partition_by).sortWithinPartitions(partition_by, *cluster_by)
+
+
 def full_rebuild(
     df: DataFrame,
     table: str,
@@ -93,9 +96,9 @@ def drop_day(spark: SparkSession, table: str, day: date, partition_by: str = DAY
     )
 
 
-def _which_days(days: Sequence[date]) -> Column:
-    """One bit for each day of a load, as the rows are counted while being written."""
-    offset = F.datediff(F.col(DAY), F.lit(days[0]))
+def _which_days(days: Sequence[date], day_column: str = DAY) -> Column:
+    """One bit per day of a load that has rows, gathered while they are written."""
+    offset = F.datediff(F.col(day_column), F.lit(days[0]))
     return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), offset))
 
 
@@ -104,12 +107,27 @@ def _overwrite_days(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table, overwrite=True)
 
 
+def _loads(days: Sequence[date]) -> Iterator[list[date]]:
+    """Days in order, split so that no load spans more than a month."""
+    wanted = sorted(set(days))
+    while wanted:
+        part = [d for d in wanted if (d - wanted[0]).days < DAYS_PER_LOAD]
+        yield part
+        wanted = wanted[len(part):]
+
+
+def _seen_days(seen: Observation, part: Sequence[date]) -> list[date]:
+    bits = seen.get["days"] or 0
+    return [d for d in part if bits >> (d - part[0]).days & 1]
+
+
 def replace_days(
     df: DataFrame,
     table: str,
     days: Sequence[date],
     cluster_by: Sequence[str] | None = (),
     allow_empty: bool = False,
+    partition_by: str = DAY,
 ) -> list[date]:
     """Make the given days of a table equal to those days of `df`; other days stay.
 
@@ -121,23 +139,23 @@ def replace_days(
     """
     spark = df.sparkSession
     loaded: list[date] = []
-    wanted = sorted(set(days))
-    while wanted:
-        part = [d for d in wanted if (d - wanted[0]).days < DAYS_PER_LOAD]
-        wanted = wanted[len(part):]
+    for part in _loads(days):
         seen = Observation()
-        rows = df.where(F.col(DAY).isin(part)).observe(seen, _which_days(part).alias("days"))
+        rows = df.where(F.col(partition_by).isin(part))
+        if cluster_by is not None:
+            rows = spread(rows, cluster_by, partition_by)
+        # After the shuffle, where adaptive execution keeps it even if there is no row.
+        rows = rows.observe(seen, _which_days(part, partition_by).alias("days"))
         if cluster_by is not None:
-            rows = clustered(rows, cluster_by)
+            rows = rows.sortWithinPartitions(partition_by, *cluster_by)
         with settings(spark, _UNSORTED if cluster_by is None else _DYNAMIC):
             _overwrite_days(rows, table)
-        bits = seen.get["days"] or 0
-        loaded += [d for d in part if bits >> (d - part[0]).days & 1]
+        loaded += _seen_days(seen, part)
     empty = sorted(set(days) - set(loaded))
     if empty and not allow_empty:
         raise EmptyDay(f"{table}: no rows for {', '.join(map(str, empty))}")
     for day in empty:
-        drop_day(spark, table, day)
+        drop_day(spark, table, day, partition_by)
     return loaded
 
 
@@ -185,23 +203,19 @@ def export_days(df: DataFrame, root: str, days: Sequence[date], day: Column | No
     directory that holds no row.
     """
     spark = df.sparkSession
-    wanted = sorted(set(days))
-    if len(wanted) > 1 and day is None:
+    if len(set(days)) > 1 and day is None:
         raise ValueError("several days need a day column")
-    dated = df.withColumn(DAY, F.lit(wanted[0]) if day is None else day)
-    while wanted:
-        part = [d for d in wanted if (d - wanted[0]).days < DAYS_PER_LOAD]
-        wanted = wanted[len(part):]
+    dated = df.withColumn(DAY, F.lit(days[0]) if day is None else day)
+    names = {"year": "yyyy", "month": "MM", "day": "dd"}
+    for part in _loads(days):
         seen = Observation()
         rows = dated.where(F.col(DAY).isin(part)).observe(seen, _which_days(part).alias("days"))
-        parts = {"year": "yyyy", "month": "MM", "day": "dd"}
         laid_out = rows.select(
-            *df.columns, *(F.date_format(DAY, form).alias(name) for name, form in parts.items())
+            *df.columns, *(F.date_format(DAY, form).alias(name) for name, form in names.items())
         )
         with settings(spark, _UNSORTED):
-            laid_out.write.mode("overwrite").partitionBy(*parts).parquet(root)
-        bits = seen.get["days"] or 0
-        for empty in (d for d in part if not bits >> (d - part[0]).days & 1):
+            laid_out.write.mode("overwrite").partitionBy(*names).parquet(root)
+        for empty in sorted(set(part) - set(_seen_days(seen, part))):
             df.where(F.lit(False)).write.mode("overwrite").parquet(
                 f"{root.rstrip('/')}/{lake_day_dir(empty)}"
             )

@@ -44,8 +44,16 @@ def query(sql: str) -> Callable[[Query], Query]:
     return register
 
 
-def selected_events(spark: SparkSession, sf_dir: str, since=None) -> DataFrame:
-    return staging.select_repos(staging.stage_events(raw_events(spark, sf_dir), since), REPOS)
+def selected_events(spark, sf_dir, since=None, columns=None) -> DataFrame:
+    """Selected events with all columns, or those the query reads."""
+    if columns is not None:
+        columns = [*columns, "repo_name"]
+    staged = staging.stage_events(raw_events(spark, sf_dir), since, columns)
+    return staging.select_repos(staged, REPOS)
+
+
+ACTOR = ["actor_login"]
+ACTOR_TYPE = ["actor_login", "event_type"]
 
 
 def attributed(raw: DataFrame) -> DataFrame:
@@ -101,22 +109,22 @@ def target_day(spark, sf_dir):
 
 @query("SELECT * FROM daily")
 def mart_repo_daily_activity(spark, sf_dir):
-    return marts.daily_activity(selected_events(spark, sf_dir))
+    return marts.daily_activity(selected_events(spark, sf_dir, columns=ACTOR))
 
 
 @query("SELECT * FROM by_type")
 def mart_repo_daily_event_type_activity(spark, sf_dir):
-    return marts.daily_event_type_activity(selected_events(spark, sf_dir))
+    return marts.daily_event_type_activity(selected_events(spark, sf_dir, columns=ACTOR_TYPE))
 
 
 @query("SELECT * FROM by_actor")
 def mart_repo_actor_activity(spark, sf_dir):
-    return marts.actor_activity(selected_events(spark, sf_dir))
+    return marts.actor_activity(selected_events(spark, sf_dir, columns=ACTOR_TYPE))
 
 
 @query("SELECT * FROM summary")
 def mart_repo_summary(spark, sf_dir):
-    return marts.repo_summary(selected_events(spark, sf_dir))
+    return marts.repo_summary(selected_events(spark, sf_dir, columns=ACTOR))
 
 
 @query("""
@@ -125,7 +133,7 @@ SELECT repo_name, count(*) AS total_events, count(DISTINCT actor_login) AS total
        min(created_at) AS first_activity, max(created_at) AS last_activity
 FROM selected GROUP BY repo_name""")
 def mart_repo_summary_cloud(spark, sf_dir):
-    return marts.repo_summary_by_type(selected_events(spark, sf_dir))
+    return marts.repo_summary_by_type(selected_events(spark, sf_dir, columns=ACTOR_TYPE))
 
 
 # -- dashboard -------------------------------------------------------------------------
@@ -140,12 +148,12 @@ FROM recent"""
 
 @query(KPIS)
 def kpis(spark, sf_dir):
-    return serving.kpis(selected_events(spark, sf_dir, START), START, END)
+    return serving.kpis(selected_events(spark, sf_dir, START, ACTOR), START, END)
 
 
 @query(f"{KPIS} WHERE repo_name = '{REPO}'")
 def kpis_for_repo(spark, sf_dir):
-    return serving.kpis(selected_events(spark, sf_dir, START), START, END, REPO)
+    return serving.kpis(selected_events(spark, sf_dir, START, ACTOR), START, END, REPO)
 
 
 OVER_TIME = """
@@ -155,12 +163,12 @@ FROM recent"""
 
 @query(f"{OVER_TIME} GROUP BY event_date ORDER BY event_date")
 def activity_over_time(spark, sf_dir):
-    return serving.activity_over_time(selected_events(spark, sf_dir, START), START, END)
+    return serving.activity_over_time(selected_events(spark, sf_dir, START, ACTOR), START, END)
 
 
 @query(f"{OVER_TIME} WHERE repo_name = '{REPO}' GROUP BY event_date ORDER BY event_date")
 def activity_over_time_for_repo(spark, sf_dir):
-    return serving.activity_over_time(selected_events(spark, sf_dir, START), START, END, REPO)
+    return serving.activity_over_time(selected_events(spark, sf_dir, START, ACTOR), START, END, REPO)
 
 
 def _zero_filled(start: str, end: str, measure: str, name: str, where: str = "true") -> str:
@@ -176,7 +184,7 @@ GROUP BY d ORDER BY d"""
 @query(_zero_filled("2023-12-30", "2024-01-05", "count(*)", "total_events"))
 def activity_zero_filled(spark, sf_dir):
     days = DayRange.ending("2024-01-05", 7)
-    events = selected_events(spark, sf_dir, days.start)
+    events = selected_events(spark, sf_dir, days.start, ACTOR)
     return serving.activity_zero_filled(events, days.start, days.end)
 
 
@@ -184,7 +192,7 @@ def activity_zero_filled(spark, sf_dir):
     str(START), str(END), "count(DISTINCT actor_login)", "unique_actors", f"repo_name = '{REPO}'"
 ))
 def activity_zero_filled_for_repo(spark, sf_dir):
-    events = selected_events(spark, sf_dir, START)
+    events = selected_events(spark, sf_dir, START, ACTOR)
     return serving.activity_zero_filled(events, START, END, "unique_actors", REPO)
 
 
@@ -196,19 +204,23 @@ TYPE_ORDER = "GROUP BY event_type ORDER BY total_events DESC, event_type NULLS L
 
 @query(f"{BY_TYPE} {TYPE_ORDER}")
 def event_type_distribution(spark, sf_dir):
-    by_type = marts.daily_event_type_activity(selected_events(spark, sf_dir, START))
+    by_type = marts.daily_event_type_activity(
+        selected_events(spark, sf_dir, START, ACTOR_TYPE)
+    )
     return serving.event_type_distribution(by_type, START, END)
 
 
 @query(f"{BY_TYPE} AND repo_name = '{REPO}' {TYPE_ORDER}")
 def event_type_distribution_for_repo(spark, sf_dir):
-    by_type = marts.daily_event_type_activity(selected_events(spark, sf_dir, START))
+    by_type = marts.daily_event_type_activity(
+        selected_events(spark, sf_dir, START, ACTOR_TYPE)
+    )
     return serving.event_type_distribution(by_type, START, END, REPO)
 
 
 @query("SELECT count(DISTINCT repo_name) AS active_repos FROM recent")
 def active_repo_count(spark, sf_dir):
-    return serving.active_repo_count(selected_events(spark, sf_dir, START), START, END)
+    return serving.active_repo_count(selected_events(spark, sf_dir, START, ACTOR), START, END)
 
 
 # The latest day of all copies is the latest day of the copies kept: deduplication
@@ -227,21 +239,21 @@ def dashboard_window(spark, sf_dir):
 
 @query("SELECT repo_name FROM summary ORDER BY repo_name NULLS LAST")
 def repo_options(spark, sf_dir):
-    return serving.repo_options(marts.repo_summary(selected_events(spark, sf_dir)))
+    return serving.repo_options(marts.repo_summary(selected_events(spark, sf_dir, columns=ACTOR)))
 
 
 @query("""
 SELECT repo_name, total_events FROM summary
 ORDER BY total_events DESC, repo_name NULLS LAST LIMIT 5""")
 def top_repos(spark, sf_dir):
-    return serving.top_repos(marts.repo_summary(selected_events(spark, sf_dir)))
+    return serving.top_repos(marts.repo_summary(selected_events(spark, sf_dir, columns=ACTOR)))
 
 
 @query("""
 SELECT 'forge/' || repo_name AS entity_name, total_events, repo_name AS entity_label
 FROM summary ORDER BY total_events DESC, repo_name NULLS LAST LIMIT 5""")
 def top_repo_labels(spark, sf_dir):
-    events = selected_events(spark, sf_dir)
+    events = selected_events(spark, sf_dir, columns=ACTOR)
     owned = events.withColumn("repo_name", F.concat(F.lit("forge/"), "repo_name"))
     top = serving.top_entities(marts.repo_summary(owned), owned, START, END)
     return serving.with_labels(top, are_repos=True)
@@ -252,7 +264,7 @@ SELECT actor_login AS entity_name, count(*) AS total_events, actor_login AS enti
 FROM recent WHERE repo_name = '{REPO}' GROUP BY actor_login
 ORDER BY total_events DESC, actor_login NULLS LAST LIMIT 5""")
 def top_contributors_in_range(spark, sf_dir):
-    events = selected_events(spark, sf_dir, START)
+    events = selected_events(spark, sf_dir, START, ACTOR)
     top = serving.top_entities(marts.repo_summary(events), events, START, END, REPO)
     return serving.with_labels(top, are_repos=False)
 
@@ -262,7 +274,7 @@ SELECT actor_login, total_events, first_activity, last_activity
 FROM by_actor WHERE repo_name = '{REPO}'
 ORDER BY total_events DESC, actor_login NULLS LAST LIMIT 5""")
 def top_contributors(spark, sf_dir):
-    return serving.top_contributors(marts.actor_activity(selected_events(spark, sf_dir)), REPO)
+    return serving.top_contributors(marts.actor_activity(selected_events(spark, sf_dir, columns=ACTOR_TYPE)), REPO)
 
 
 # -- loads -----------------------------------------------------------------------------
@@ -305,7 +317,7 @@ def _upserted(spark, sf_dir, name):
     tables = Tables(scratch_database(spark, "upsert"))
     incremental.create_tables(spark, tables)
     build, _, keys, cluster_by = incremental.DAILY_MARTS[name]
-    events = selected_events(spark, sf_dir)
+    events = selected_events(spark, sf_dir, columns=ACTOR_TYPE)
     other, clicks = events.where("event_type <> 'click'"), events.where("event_type = 'click'")
     loads.replace_days(build(other), tables[name], MONTH, cluster_by)
     recent = DayRange(START, END).days
@@ -338,7 +350,7 @@ def retention(spark, sf_dir):
     tables = Tables(scratch_database(spark, "retention"))
     incremental.create_tables(spark, tables)
     name = "mart_repo_daily_activity"
-    daily = marts.daily_activity(selected_events(spark, sf_dir))
+    daily = marts.daily_activity(selected_events(spark, sf_dir, columns=ACTOR))
     loads.replace_days(daily, tables[name], MONTH, ["repo_name"])
     loads.retain_days(spark, tables[name], START, END)
     return spark.table(tables[name])
@@ -507,7 +519,7 @@ def quality_checks_selected(spark, sf_dir):
                   *_sql_positive("total_events", "unique_actors"),
                   *_sql_grain("repo_name", "event_date")))
 def quality_checks_daily(spark, sf_dir):
-    daily = marts.daily_activity(selected_events(spark, sf_dir))
+    daily = marts.daily_activity(selected_events(spark, sf_dir, columns=ACTOR))
     return checks.run_checks(daily, checks.WINDOW_CHECKS["mart_repo_daily_activity"])
 
 
@@ -515,7 +527,7 @@ def quality_checks_daily(spark, sf_dir):
                   *_sql_positive("total_events", "unique_actors"),
                   *_sql_grain("repo_name", "event_date", "event_type")))
 def quality_checks_event_type(spark, sf_dir):
-    by_type = marts.daily_event_type_activity(selected_events(spark, sf_dir))
+    by_type = marts.daily_event_type_activity(selected_events(spark, sf_dir, columns=ACTOR_TYPE))
     return checks.run_checks(
         by_type, checks.WINDOW_CHECKS["mart_repo_daily_event_type_activity"]
     )
@@ -525,7 +537,7 @@ def quality_checks_event_type(spark, sf_dir):
                   *_sql_positive("total_events"), *SQL_ORDERED,
                   *_sql_grain("repo_name", "actor_login")))
 def quality_checks_actor(spark, sf_dir):
-    by_actor = marts.actor_activity(selected_events(spark, sf_dir))
+    by_actor = marts.actor_activity(selected_events(spark, sf_dir, columns=ACTOR_TYPE))
     return checks.run_checks(by_actor, checks.WINDOW_CHECKS["mart_repo_actor_activity"])
 
 
@@ -533,7 +545,7 @@ def quality_checks_actor(spark, sf_dir):
                   *_sql_positive("total_events", "unique_actors", "active_days"),
                   *SQL_ORDERED, *_sql_grain("repo_name")))
 def quality_checks_summary(spark, sf_dir):
-    summary = marts.repo_summary(selected_events(spark, sf_dir))
+    summary = marts.repo_summary(selected_events(spark, sf_dir, columns=ACTOR))
     return checks.run_checks(summary, checks.WINDOW_CHECKS["mart_repo_summary"])
 
 
@@ -552,7 +564,7 @@ def _day_check_sql(*rules: tuple[str, str]) -> str:
 @query(_day_check_sql(*_sql_positive("total_events", "unique_actors"),
                       *_sql_grain("repo_name", "event_date")))
 def quality_checks_by_day(spark, sf_dir):
-    daily = marts.daily_activity(selected_events(spark, sf_dir, START))
+    daily = marts.daily_activity(selected_events(spark, sf_dir, START, ACTOR))
     return checks.run_checks_by_day(
         daily, checks.DAY_CHECKS["mart_repo_daily_activity"], DayRange(START, END).days
     )
