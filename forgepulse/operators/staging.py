@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.functions.columns import event_day
@@ -16,16 +16,16 @@ ALL_REPOS = "All repos"
 def flatten_event(raw: DataFrame) -> DataFrame:
     """The typed leaves of a raw event; `filename` and day columns are kept if present."""
     kept = [c for c in ("filename", "event_date") if c in raw.columns]
-    return raw.select(
-        F.col("id").alias("event_id"),
-        F.col("type").alias("event_type"),
-        F.col("actor.id").alias("actor_id"),
-        F.col("actor.login").alias("actor_login"),
-        F.col("repo.id").alias("repo_id"),
-        F.col("repo.name").alias("repo_name"),
+    return raw.selectExpr(
+        "id AS event_id",
+        "type AS event_type",
+        "actor.id AS actor_id",
+        "actor.login AS actor_login",
+        "repo.id AS repo_id",
+        "repo.name AS repo_name",
         "created_at",
-        F.col("org.id").alias("org_id"),
-        F.col("org.login").alias("org_login"),
+        "org.id AS org_id",
+        "org.login AS org_login",
         *kept,
     )
 
@@ -43,10 +43,10 @@ def dedup_latest(
     """
     leading = [c for c in ("created_at", "filename") if c in events.columns]
     rest = [c for c in events.columns if c not in (key, *within, *leading)]
-    newest = Window.partitionBy(*within, key).orderBy(
-        *(F.col(c).desc_nulls_last() for c in leading + rest)
-    )
-    return events.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    copies = ", ".join([*within, key])
+    newest = ", ".join(f"{c} DESC NULLS LAST" for c in leading + rest)
+    rank = f"row_number() OVER (PARTITION BY {copies} ORDER BY {newest}) AS _rank"
+    return events.selectExpr("*", rank).where("_rank = 1").drop("_rank")
 
 
 def stage_events(

@@ -24,10 +24,9 @@ class Dashboard:
     def _table(self, name: str) -> DataFrame:
         return self.spark.table(self.tables[name])
 
-    def repo_options(self) -> list[str]:
-        """The choices of the repository filter, one per row of the summary."""
-        names = serving.repo_options(self._table("mart_repo_summary")).collect()
-        return [ALL_REPOS, *(row.repo_name for row in names)]
+    def repo_options(self) -> DataFrame:
+        """The choices of the repository filter; `ALL_REPOS` comes before them."""
+        return serving.repo_options(self._table("mart_repo_summary"))
 
     def window(self, days: int = LOOKBACK_DAYS) -> DayRange | None:
         """The last loaded days, or None before the first load."""

@@ -20,9 +20,22 @@ DAY = "event_date"
 CLUSTER_BUCKETS = 1024
 DAYS_PER_LOAD = 31
 
-_DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-# Tasks that meet a few days keep one file open for each, which saves sorting wide rows.
-_UNSORTED = {**_DYNAMIC, "spark.sql.maxConcurrentOutputFileWriters": "8"}
+# Shuffled bytes per task that writes; sorted columns make a file of about half that.
+WRITE_BYTES = "128m"
+
+
+def _sized() -> dict[str, str]:
+    return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": WRITE_BYTES}
+
+
+def _dynamic() -> dict[str, str]:
+    return {**_sized(), "spark.sql.sources.partitionOverwriteMode": "dynamic"}
+
+
+def _in_place() -> dict[str, str]:
+    """For rows written where they are: a task that meets a few days keeps one file open
+    for each, which saves sorting wide rows by day."""
+    return {**_dynamic(), "spark.sql.maxConcurrentOutputFileWriters": "8"}
 
 
 class EmptyDay(RuntimeError):
@@ -66,7 +79,7 @@ def full_rebuild(
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    with settings(df.sparkSession, _UNSORTED if cluster_by is None else {}):
+    with settings(df.sparkSession, _in_place() if cluster_by is None else _sized()):
         writer.saveAsTable(table)
 
 
@@ -148,7 +161,7 @@ def replace_days(
         rows = rows.observe(seen, _which_days(part, partition_by).alias("days"))
         if cluster_by is not None:
             rows = rows.sortWithinPartitions(partition_by, *cluster_by)
-        with settings(spark, _UNSORTED if cluster_by is None else _DYNAMIC):
+        with settings(spark, _in_place() if cluster_by is None else _dynamic()):
             _overwrite_days(rows, table)
         loaded += _seen_days(seen, part)
     empty = sorted(set(days) - set(loaded))
@@ -192,7 +205,7 @@ def upsert_days(
     touched = F.col(DAY).isin(list(days))
     old = spark.table(table).where(touched)
     rows = merged(old, new.where(touched), keys, nulls_match)
-    with settings(spark, _DYNAMIC):
+    with settings(spark, _dynamic()):
         _overwrite_days(clustered(rows, cluster_by), table)
 
 
@@ -213,7 +226,7 @@ def export_days(df: DataFrame, root: str, days: Sequence[date], day: Column | No
         laid_out = rows.select(
             *df.columns, *(F.date_format(DAY, form).alias(name) for name, form in names.items())
         )
-        with settings(spark, _UNSORTED):
+        with settings(spark, _in_place()):
             laid_out.write.mode("overwrite").partitionBy(*names).parquet(root)
         for empty in sorted(set(part) - set(_seen_days(seen, part))):
             df.where(F.lit(False)).write.mode("overwrite").parquet(

@@ -147,7 +147,7 @@ def test_full_rebuild_leaves_nothing_behind(spark, database):
     assert spark.table(table).count() == 0
 
 
-def test_a_hot_repository_is_spread_over_sorted_files(spark, database):
+def test_a_hot_repository_is_spread_over_sorted_files(spark, database, monkeypatch):
     """A third of one day's rows in one repository does not end up in one file."""
     table = f"{database}.hot"
     repo = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 997))
@@ -155,12 +155,8 @@ def test_a_hot_repository_is_spread_over_sorted_files(spark, database):
         repo.alias("repo_name"), F.lit(DAY1).alias("event_date"),
         F.sha2(F.col("id").cast("string"), 256).alias("text"),
     )
-    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
-    try:
-        loads.full_rebuild(rows, table, loads.DAY, ["repo_name"])
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    monkeypatch.setattr(loads, "WRITE_BYTES", "4m")
+    loads.full_rebuild(rows, table, loads.DAY, ["repo_name"])
     files = list(location(spark, table).rglob("*.parquet"))
     sizes = [pq.read_metadata(f).num_rows for f in files]
     assert sum(sizes) == 600_000 and max(sizes) < 120_000

@@ -17,6 +17,7 @@ from forgepulse.functions.columns import hourly_file_name
 EVENTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, props STRING"
 
 REPOS = tuple(f"repo-{k}" for k in range(0, 99, 7))
+ALL_REPOS = tuple(f"repo-{k}" for k in range(100))
 REPO = "repo-42"
 FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
 MONTH = days_in(FIRST_DAY, LAST_DAY)
@@ -26,37 +27,28 @@ START, END = date(2024, 1, 24), LAST_DAY
 
 def raw_events(spark: SparkSession, sf_dir: str, late_copies: bool = False) -> DataFrame:
     """With `late_copies`, some events also arrive again dated one day later, in file 'c'."""
-    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
-    user, repo = F.col("user_id"), F.get_json_object("props", "$.k").cast("bigint")
-
-    def delivery(filename: str, days_late: int):
-        return F.struct(F.lit(filename).alias("filename"), F.lit(days_late).alias("days_late"))
-
-    once, replayed = delivery("a", 0), delivery("b", 0)
-    last_digit = F.col("event_id") % 10
-    deliveries = F.when(last_digit == 0, F.array(once, replayed))
-    if late_copies:
-        deliveries = deliveries.when(last_digit == 5, F.array(once, delivery("c", 1)))
-    deliveries = deliveries.otherwise(F.array(once))
-
-    created_at = F.col("ts")
-    if late_copies:
-        created_at += F.make_dt_interval(F.col("days_late"))
-    return events.select("*", F.inline(deliveries)).select(
-        F.col("event_id").cast("string").alias("id"),
-        F.col("event_type").alias("type"),
-        F.struct(
-            user.alias("id"),
-            F.when(user % 50 != 0, F.concat(F.lit("user-"), user)).alias("login"),
-        ).alias("actor"),
-        F.struct(repo.alias("id"), F.concat(F.lit("repo-"), repo).alias("name")).alias("repo"),
-        F.when(
-            user % 3 != 0,
-            F.struct(user.alias("id"), F.concat(F.lit("org-"), user).alias("login")),
-        ).alias("org"),
-        created_at.alias("created_at"),
-        F.col("props").alias("payload"),
-        "filename",
+    late = "WHEN event_id % 10 = 5 THEN array(struct('a', 0), struct('c', 1))" if late_copies else ""
+    deliveries = f"""
+        CASE WHEN event_id % 10 = 0 THEN array(struct('a', 0), struct('b', 0)) {late}
+             ELSE array(struct('a', 0)) END"""
+    created_at = "ts + make_dt_interval(days_late)" if late_copies else "ts"
+    return (
+        spark.read.schema(EVENTS)
+        .parquet(f"{sf_dir}/events.parquet")
+        .selectExpr("*", f"inline({deliveries}) AS (filename, days_late)")
+        .selectExpr("*", "cast(get_json_object(props, '$.k') AS BIGINT) AS k")
+        .selectExpr(
+            "cast(event_id AS STRING) AS id",
+            "event_type AS type",
+            """struct(user_id AS id,
+                      CASE WHEN user_id % 50 <> 0 THEN 'user-' || user_id END AS login) AS actor""",
+            "struct(k AS id, 'repo-' || k AS name) AS repo",
+            """CASE WHEN user_id % 3 <> 0
+                    THEN struct(user_id AS id, 'org-' || user_id AS login) END AS org""",
+            f"{created_at} AS created_at",
+            "props AS payload",
+            "filename",
+        )
     )
 
 

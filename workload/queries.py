@@ -16,7 +16,7 @@ from forgepulse.session import prepare, scratch_database, scratch_path
 from forgepulse.sinks import loads
 from forgepulse.sources import lake, landing, ndjson
 from workload.feed import (
-    CTES, END, FIRST_DAY, LAST_DAY, MONTH, REPO, REPOS, START, hourly_files, raw_events,
+    ALL_REPOS, CTES, END, FIRST_DAY, LAST_DAY, MONTH, REPO, REPOS, START, hourly_files, raw_events,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -303,9 +303,8 @@ def replace_day(spark, sf_dir):
     incremental.create_tables(spark, tables)
     table = tables["stg_events"]
     raw = raw_events(spark, sf_dir).withColumn(loads.DAY, F.to_date("created_at"))
-    loads.replace_days(
-        staging.stage_events_by_day(raw.where("type <> 'click'")), table, MONTH, ["repo_name"]
-    )
+    others = staging.stage_events_by_day(raw.where("type <> 'click'"))
+    loads.replace_days(others, table, MONTH, ["repo_name"], allow_empty=True)
     loads.replace_days(
         staging.stage_events_by_day(staging.on_day(raw, END)), table, [END], ["repo_name"]
     )
@@ -319,7 +318,7 @@ def _upserted(spark, sf_dir, name):
     build, _, keys, cluster_by = incremental.DAILY_MARTS[name]
     events = selected_events(spark, sf_dir, columns=ACTOR_TYPE)
     other, clicks = events.where("event_type <> 'click'"), events.where("event_type = 'click'")
-    loads.replace_days(build(other), tables[name], MONTH, cluster_by)
+    loads.replace_days(build(other), tables[name], MONTH, cluster_by, allow_empty=True)
     recent = DayRange(START, END).days
     loads.upsert_days(
         build(staging.in_days(clicks, START, END)), tables[name], keys, recent, cluster_by
@@ -351,7 +350,7 @@ def retention(spark, sf_dir):
     incremental.create_tables(spark, tables)
     name = "mart_repo_daily_activity"
     daily = marts.daily_activity(selected_events(spark, sf_dir, columns=ACTOR))
-    loads.replace_days(daily, tables[name], MONTH, ["repo_name"])
+    loads.replace_days(daily, tables[name], MONTH, ["repo_name"], allow_empty=True)
     loads.retain_days(spark, tables[name], START, END)
     return spark.table(tables[name])
 
@@ -385,7 +384,7 @@ def window_run(spark, sf_dir):
 SELECT repo_name, cast(created_at AS date) AS event_date, event_type,
        count(DISTINCT event_id) AS total_events, count(DISTINCT actor_login) AS unique_actors
 FROM late_raw
-WHERE actor_login IS NOT NULL AND repo_name IN (SELECT repo_name FROM summary)
+WHERE actor_login IS NOT NULL
   AND cast(created_at AS date) <= (SELECT max(event_date) FROM stg)
 GROUP BY ALL""")
 def incremental_run(spark, sf_dir):
@@ -394,8 +393,8 @@ def incremental_run(spark, sf_dir):
     tables = Tables(scratch_database(spark, "incremental"))
     raw = attributed(raw_events(spark, sf_dir, late_copies=True)).drop("filename")
     loads.export_days(raw, root, MONTH, F.to_date("created_at"))
-    incremental.run_days(spark, root, tables, MONTH, REPOS)
-    incremental.run_days(spark, root, tables, [END], REPOS)
+    incremental.run_days(spark, root, tables, MONTH, ALL_REPOS)
+    incremental.run_days(spark, root, tables, [END], ALL_REPOS)
     return spark.table(tables["mart_repo_daily_event_type_activity"])
 
 
