@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from forgepulse.config import LOOKBACK_DAYS, DayRange, Tables
 from forgepulse.operators import serving
 from forgepulse.operators.staging import ALL_REPOS
+from forgepulse.sinks.loads import partition_days
 
 
 @dataclass(frozen=True)
@@ -28,10 +30,15 @@ class Dashboard:
         """The choices of the repository filter; `ALL_REPOS` comes before them."""
         return serving.repo_options(self._table("mart_repo_summary"))
 
+    def last_loaded_date(self) -> date | None:
+        """The last day of the staging table, from its partitions: no file is opened."""
+        days = partition_days(self.spark, self.tables["stg_events"])
+        return max((d for d in days if d is not None), default=None)
+
     def window(self, days: int = LOOKBACK_DAYS) -> DayRange | None:
-        """The last loaded days, or None before the first load."""
-        row = serving.dashboard_window(self._table("stg_events"), days).first()
-        return None if row.end_date is None else DayRange(row.start_date, row.end_date)
+        """The last loaded day and those before it, or None before the first load."""
+        last = self.last_loaded_date()
+        return None if last is None else DayRange.ending(last, days)
 
     def active_repo_count(self, window: DayRange) -> DataFrame:
         selected = self._table("stg_selected_events")

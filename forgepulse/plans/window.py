@@ -32,18 +32,16 @@ MARTS: dict[str, tuple[Callable[[DataFrame], DataFrame], str | None, Sequence[st
 }
 
 
-def _landed_in(spark: SparkSession, landing_dir: str, window: DayRange) -> DataFrame:
+def landed_in(spark: SparkSession, landing_dir: str, window: DayRange) -> DataFrame:
+    """The landed files of the window's hours."""
     expected = landing.expected_files(spark, window.start, window.end)
-    landed = landing.landed_files(spark, landing_dir)
+    landed = landing.landed_files(spark, landing_dir, window.days)
     return landed.join(expected.select("filename"), "filename", "left_semi")
 
 
-def audit_landing(
-    spark: SparkSession, landing_dir: str, window: DayRange, min_bytes: int = MIN_FILE_BYTES
-) -> int:
+def audit_landing(landed: DataFrame, window: DayRange, min_bytes: int = MIN_FILE_BYTES) -> int:
     """Stop on unsound files, warn about missing hours, return the bytes of the window."""
-    expected = landing.expected_files(spark, window.start, window.end)
-    landed = _landed_in(spark, landing_dir, window)
+    expected = landing.expected_files(landed.sparkSession, window.start, window.end)
     for line in landing.require_sound(landing.audit(expected, landed, min_bytes)):
         log.warning(line)
     return landed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
@@ -68,21 +66,22 @@ def changed_days(landed: DataFrame, raw: DataFrame) -> list[date]:
     return sorted(row.day for row in days.collect() if row.day is not None)
 
 
-def refresh_raw(spark: SparkSession, landing_dir: str, table: str, window: DayRange) -> None:
-    """Bring the raw table to the files of the window.
+def refresh_raw(
+    spark: SparkSession, landing_dir: str, landed: DataFrame, table: str, window: DayRange
+) -> None:
+    """Bring the raw table to the landed files of the window.
 
     Days outside of it are dropped, and only days with new or removed files are parsed
     again, so a daily run decompresses one day rather than the whole window.
     """
     if not spark.catalog.tableExists(table):
-        raw = scan_ndjson(spark, landing_dir, window)
+        raw = scan_ndjson(spark, landing_dir, window.days)
         loads.full_rebuild(raw, table, FILE_DAY, cluster_by=None)
         return
     loads.retain_days(spark, table, window.start, window.end, FILE_DAY)
-    landed = _landed_in(spark, landing_dir, window)
     days = changed_days(landed, spark.table(table))
     if days:
-        raw = scan_ndjson(spark, landing_dir, DayRange(days[0], days[-1]))
+        raw = scan_ndjson(spark, landing_dir, days)
         loads.replace_days(raw, table, days, None, allow_empty=True, partition_by=FILE_DAY)
 
 
@@ -103,10 +102,11 @@ def run_window(
     """
     prepare(spark)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.database}")
-    size_shuffles(spark, audit_landing(spark, landing_dir, window, min_bytes))
+    landed = landed_in(spark, landing_dir, window)
+    size_shuffles(spark, audit_landing(landed, window, min_bytes))
 
     if raw is None:
-        refresh_raw(spark, landing_dir, tables["raw_events"], window)
+        refresh_raw(spark, landing_dir, landed, tables["raw_events"], window)
     else:
         loads.full_rebuild(raw, tables["raw_events"], FILE_DAY, cluster_by=None)
     raw = _checked(spark, tables, "raw_events")

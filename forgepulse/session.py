@@ -64,11 +64,13 @@ def size_shuffles(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables, in the folder the cluster shares.
 
-    That is `spark.checkpoint.dir`; only where it is unset, as on a laptop, is a
-    local temporary folder used.
+    That is `spark.checkpoint.dir`; only where it is unset and Spark runs in this
+    process is a local temporary folder used.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="forgepulse-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 

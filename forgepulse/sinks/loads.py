@@ -25,7 +25,11 @@ WRITE_BYTES = "128m"
 
 
 def _sized() -> dict[str, str]:
-    return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": WRITE_BYTES}
+    """Merge partitions up to that size, rather than keep one for every core."""
+    return {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": WRITE_BYTES,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
 
 
 def _dynamic() -> dict[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from forgepulse.config import HOURS_PER_DAY, MIN_FILE_BYTES
 from forgepulse.functions.columns import base_name, calendar, file_day, hourly_file_name
 from forgepulse.session import settings
-from forgepulse.sources.ndjson import FILES
+from forgepulse.sources.ndjson import FILES, files_of
 
 WARN, ERROR = "warn", "error"
 
@@ -28,9 +29,15 @@ def expected_files(spark: SparkSession, start: date, end: date) -> DataFrame:
     )
 
 
-def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
+def landed_files(
+    spark: SparkSession, landing_dir: str, days: Sequence[date] | None = None
+) -> DataFrame:
     """(filename, length, path) of the files present; a listing, contents are not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", FILES).load(landing_dir)
+    listing = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", files_of(days))
+        .load(landing_dir)
+    )
     return listing.select(base_name(F.col("path")).alias("filename"), "length", "path")
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forgepulse import schemas
-from forgepulse.config import DayRange
 from forgepulse.functions.columns import file_day
 from forgepulse.session import settings
 
@@ -15,16 +17,16 @@ FILES = "*.json.gz"
 CORRUPT = "_corrupt_record"
 
 
-def _file_glob(window: DayRange | None) -> str:
-    """Pattern for the files of a window; files of other days are not even listed."""
-    if window is None:
+def files_of(days: Sequence[date] | None) -> str:
+    """Pattern for the hourly files of some days, or of all."""
+    if days is None:
         return FILES
-    return "{" + ",".join(d.isoformat() for d in window.days) + "}-" + FILES
+    return "{" + ",".join(d.isoformat() for d in days) + "}-" + FILES
 
 
-def _reader(spark: SparkSession, window: DayRange | None, malformed: str):
+def _reader(spark: SparkSession, days: Sequence[date] | None, malformed: str):
     return (
-        spark.read.option("pathGlobFilter", _file_glob(window))
+        spark.read.option("pathGlobFilter", files_of(days))
         .option("mode", malformed)
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
@@ -38,10 +40,11 @@ def _with_file(df: DataFrame) -> DataFrame:
 def scan_ndjson(
     spark: SparkSession,
     landing_dir: str,
-    window: DayRange | None = None,
+    days: Sequence[date] | None = None,
     malformed: str = "FAILFAST",
 ) -> DataFrame:
-    """Raw events with the file each came from and that file's day.
+    """Raw events with the file each came from and that file's day, for the files of the
+    given days or for all.
 
     The schema is fixed, so nothing is read twice, a field missing from a file is null
     and fields of any shape inside `payload` are kept as text. A malformed line stops
@@ -50,17 +53,17 @@ def scan_ndjson(
     schema = schemas.RAW
     if malformed == "PERMISSIVE":
         schema += f", {CORRUPT} STRING"
-    return _with_file(_reader(spark, window, malformed).schema(schema).json(landing_dir))
+    return _with_file(_reader(spark, days, malformed).schema(schema).json(landing_dir))
 
 
 def scan_ndjson_variant(
-    spark: SparkSession, landing_dir: str, window: DayRange | None = None
+    spark: SparkSession, landing_dir: str, days: Sequence[date] | None = None
 ) -> DataFrame:
     """As `scan_ndjson`, with the whole line kept as a VARIANT in `body`.
 
     No field is lost, whatever the files hold, and the raw columns are read out of it.
     """
-    lines = _reader(spark, window, "FAILFAST").option("singleVariantColumn", "body").json(
+    lines = _reader(spark, days, "FAILFAST").option("singleVariantColumn", "body").json(
         landing_dir
     )
     fields = T.StructType.fromDDL(schemas.RAW)
@@ -77,7 +80,7 @@ def scan_ndjson_variant(
 
 
 def scan_ndjson_inferred(
-    spark: SparkSession, landing_dir: str, window: DayRange | None = None
+    spark: SparkSession, landing_dir: str, days: Sequence[date] | None = None
 ) -> DataFrame:
     """As `scan_ndjson`, with the schema found by reading every line first.
 
@@ -86,7 +89,7 @@ def scan_ndjson_inferred(
     """
     with settings(spark, {"spark.sql.caseSensitive": "true"}):
         events = (
-            _reader(spark, window, "FAILFAST")
+            _reader(spark, days, "FAILFAST")
             .option("samplingRatio", 1.0)
             .option("inferTimestamp", "true")
             .json(landing_dir)
