@@ -156,6 +156,11 @@ def kpis_for_repo(spark, sf_dir):
     return serving.kpis(selected_events(spark, sf_dir, START, ACTOR), START, END, REPO)
 
 
+@query(f"{KPIS} WHERE repo_name = 'no/such'")
+def kpis_without_events(spark, sf_dir):
+    return serving.kpis(selected_events(spark, sf_dir, START, ACTOR), START, END, "no/such")
+
+
 OVER_TIME = """
 SELECT event_date, count(*) AS total_events, count(DISTINCT actor_login) AS unique_actors
 FROM recent"""
@@ -362,16 +367,44 @@ def export_day_roundtrip(spark, sf_dir):
     return staging.flatten_event(lake.scan_lake_days(spark, root, START, END))
 
 
-@query(f"SELECT {STAGING} FROM raw")
-def scan_ndjson_roundtrip(spark, sf_dir):
+def _landed_ndjson(spark, sf_dir) -> str:
+    """The feed as gzipped NDJSON files."""
     path = scratch_path(spark, "ndjson")
     raw_events(spark, sf_dir).drop("filename").write.json(
         path, compression="gzip", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     )
-    return staging.flatten_event(ndjson.scan_ndjson(spark, path)).drop("filename")
+    return path
+
+
+@query(f"SELECT {STAGING} FROM raw")
+def scan_ndjson_roundtrip(spark, sf_dir):
+    raw = ndjson.scan_ndjson(spark, _landed_ndjson(spark, sf_dir))
+    return staging.flatten_event(raw).drop("filename")
+
+
+@query(f"SELECT {STAGING} FROM raw")
+def scan_ndjson_variant_roundtrip(spark, sf_dir):
+    raw = ndjson.scan_ndjson_variant(spark, _landed_ndjson(spark, sf_dir))
+    return staging.flatten_event(raw).drop("filename")
+
+
+@query(f"SELECT {STAGING} FROM raw")
+def scan_ndjson_inferred_roundtrip(spark, sf_dir):
+    raw = ndjson.scan_ndjson_inferred(spark, _landed_ndjson(spark, sf_dir))
+    return staging.flatten_event(raw).drop("filename")
+
+
+@query(f"SELECT {STAGING} FROM raw WHERE cast(created_at AS date) = DATE '{END}'")
+def export_source_day(spark, sf_dir):
+    """A source with a table per day, one of which is exported to the lake."""
+    prefix, root = f"{scratch_database(spark, 'source')}.day_", scratch_path(spark, "lake")
+    raw = raw_events(spark, sf_dir).drop("filename")
+    raw.where(F.to_date("created_at") == F.lit(END)).write.saveAsTable(f"{prefix}{END:%Y%m%d}")
+    loads.export_days(lake.scan_source_day(spark, prefix, END), root, [END])
+    return staging.flatten_event(lake.scan_lake_days(spark, root, END, END))
 
 
-@query("SELECT * FROM (SELECT * FROM by_actor) WHERE actor_login IS NOT NULL")
+@query("SELECT * FROM by_actor WHERE actor_login IS NOT NULL")
 def window_run(spark, sf_dir):
     """All tables rebuilt and checked; returns the last mart but one."""
     tables = Tables(scratch_database(spark, "window"))
