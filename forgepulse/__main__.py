@@ -16,6 +16,7 @@ from forgepulse.session import prepare
 from forgepulse.sinks.loads import export_days
 from forgepulse.sources import landing
 from forgepulse.sources.lake import scan_source_day
+from forgepulse.sources.ndjson import SCANS
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -24,6 +25,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     window = jobs.add_parser("window", help="rebuild all tables from a window of hourly files")
     window.add_argument("--database", required=True)
+    window.add_argument("--scan", choices=sorted(SCANS), default="fixed")
 
     audit = jobs.add_parser("audit", help="list missing and undersized hourly files")
     for job in (window, audit):
@@ -60,7 +62,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "window":
         window = rolling_window(args.end_date, args.lookback_days)
         run_window(
-            spark, args.landing, Tables(args.database), window, min_bytes=args.min_bytes
+            spark, args.landing, Tables(args.database), window,
+            min_bytes=args.min_bytes, scan=args.scan,
         )
     elif args.job == "audit":
         window = rolling_window(args.end_date, args.lookback_days)

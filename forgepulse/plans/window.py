@@ -16,7 +16,7 @@ from forgepulse.operators.staging import select_repos, stage_events
 from forgepulse.session import prepare, size_shuffles
 from forgepulse.sinks import loads
 from forgepulse.sources import landing
-from forgepulse.sources.ndjson import scan_ndjson
+from forgepulse.sources.ndjson import SCANS
 
 log = logging.getLogger(__name__)
 
@@ -67,21 +67,24 @@ def changed_days(landed: DataFrame, raw: DataFrame) -> list[date]:
 
 
 def refresh_raw(
-    spark: SparkSession, landing_dir: str, landed: DataFrame, table: str, window: DayRange
+    spark: SparkSession, landing_dir: str, landed: DataFrame, table: str, window: DayRange,
+    scan: str = "fixed",
 ) -> None:
     """Bring the raw table to the landed files of the window.
 
     Days outside of it are dropped, and only days with new or removed files are parsed
-    again, so a daily run decompresses one day rather than the whole window.
+    again, so a daily run decompresses one day rather than the whole window. With an
+    inferred schema, which the files of any day may change, all are.
     """
-    if not spark.catalog.tableExists(table):
-        raw = scan_ndjson(spark, landing_dir, window.days)
+    scan_files = SCANS[scan]
+    if scan == "inferred" or not spark.catalog.tableExists(table):
+        raw = scan_files(spark, landing_dir, window.days)
         loads.full_rebuild(raw, table, FILE_DAY, cluster_by=None)
         return
     loads.retain_days(spark, table, window.start, window.end, FILE_DAY)
     days = changed_days(landed, spark.table(table))
     if days:
-        raw = scan_ndjson(spark, landing_dir, days)
+        raw = scan_files(spark, landing_dir, days)
         loads.replace_days(raw, table, days, None, allow_empty=True, partition_by=FILE_DAY)
 
 
@@ -92,23 +95,19 @@ def run_window(
     window: DayRange,
     repos: Sequence[str] | DataFrame = SELECTED_REPOS,
     min_bytes: int = MIN_FILE_BYTES,
-    raw: DataFrame | None = None,
+    scan: str = "fixed",
 ) -> None:
     """Land, stage, select and aggregate a window; stops at the first failed check.
 
     Each table is read back from where it was written, so a lost executor costs no
     more than the tables' own tasks, and the files are parsed once for all of them.
-    `raw` replaces the scan with the fixed schema, to keep or infer more fields.
+    `scan` names how the files are read: "fixed", "variant" or "inferred".
     """
     prepare(spark)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.database}")
     landed = landed_in(spark, landing_dir, window)
     size_shuffles(spark, audit_landing(landed, window, min_bytes))
-
-    if raw is None:
-        refresh_raw(spark, landing_dir, landed, tables["raw_events"], window)
-    else:
-        loads.full_rebuild(raw, tables["raw_events"], FILE_DAY, cluster_by=None)
+    refresh_raw(spark, landing_dir, landed, tables["raw_events"], window, scan)
     raw = _checked(spark, tables, "raw_events")
 
     build_from_raw(spark, raw, tables, repos)

@@ -84,8 +84,9 @@ def scan_ndjson_inferred(
 ) -> DataFrame:
     """As `scan_ndjson`, with the schema found by reading every line first.
 
-    Costs a second read of the files. Payload keys may differ only in case, so the
-    scan is analysed case-sensitively; raw columns no file has are added as nulls.
+    Costs a second read of the files. Payload keys may differ only in case, which tables
+    cannot hold: they are told apart while reading, and the payload becomes text again.
+    Raw columns no file has are added as nulls.
     """
     with settings(spark, {"spark.sql.caseSensitive": "true"}):
         events = (
@@ -94,11 +95,21 @@ def scan_ndjson_inferred(
             .option("inferTimestamp", "true")
             .json(landing_dir)
         )
-        absent = [f for f in T.StructType.fromDDL(schemas.RAW) if f.name not in events.columns]
+        found = {f.name: f.dataType for f in events.schema}
+        columns = [
+            F.to_json(name).alias(name)
+            if name == "payload" and isinstance(kind, T.StructType)
+            else F.col(name)
+            for name, kind in found.items()
+        ]
+        absent = [f for f in T.StructType.fromDDL(schemas.RAW) if f.name not in found]
         path = F.col("_metadata.file_path")
         return events.select(
-            "*",
+            *columns,
             *(F.lit(None).cast(f.dataType).alias(f.name) for f in absent),
             path.alias("filename"),
             file_day(path).alias("file_date"),
         )
+
+
+SCANS = {"fixed": scan_ndjson, "variant": scan_ndjson_variant, "inferred": scan_ndjson_inferred}

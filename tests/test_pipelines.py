@@ -85,13 +85,13 @@ def test_window_moves_and_parses_only_changed_days(spark, database, landed, monk
     tables = Tables(database)
     run_window(spark, landed, tables, DayRange(DAY1, DAY2))
     parsed = []
-    scan = window.scan_ndjson
+    scan = window.SCANS["fixed"]
 
     def recorded(spark, path, days):
         parsed.append(list(days))
         return scan(spark, path, days)
 
-    monkeypatch.setattr(window, "scan_ndjson", recorded)
+    monkeypatch.setitem(window.SCANS, "fixed", recorded)
     run_window(spark, landed, tables, DayRange(DAY2, DAY3))
     assert parsed == [[DAY3]]
     assert sorted(loads.partition_days(spark, tables["raw_events"])) == [DAY2, DAY3]
@@ -105,6 +105,21 @@ def test_window_moves_and_parses_only_changed_days(spark, database, landed, monk
     assert dump(spark, tables) == dump(spark, other)
 
 
+@pytest.mark.parametrize("scan", ["variant", "inferred"])
+def test_other_scans_keep_more_fields(spark, database, tmp_path, scan):
+    tables = Tables(database)
+    land(tmp_path, f"{DAY1}-0.json.gz", day_events(DAY1) + [
+        event("more", f"{DAY1}T01:00:00Z", payload={"x": 1, "X": 2}, extra={"deep": True}),
+    ])
+    window.run_window(
+        spark, str(tmp_path), tables, DayRange(DAY1, DAY1), REPOS, min_bytes=10, scan=scan
+    )
+    raw = spark.table(tables["raw_events"]).where("id = 'more'")
+    deep = "body:extra.deep::boolean" if scan == "variant" else "extra.deep"
+    assert values(raw, F.expr(deep), F.get_json_object("payload", "$.X")) == [(True, "2")]
+    assert spark.table(tables["stg_selected_events"]).count() == 5
+
+
 def test_a_failed_check_stops_before_the_next_table(spark, database, tmp_path):
     tables = Tables(database)
     land(tmp_path, f"{DAY1}-0.json.gz", [event(1, f"{DAY1}T00:00:00Z", type=None)])
