@@ -56,17 +56,26 @@ def lake_bytes(spark: SparkSession, lake_root: str, days: Sequence[date]) -> int
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def lake_events(spark: SparkSession, lake_root: str, days: Sequence[date]) -> DataFrame:
+    """The events of the given days' directories, with the day as a column.
+
+    Of each directory only the events of its own day are taken, so that it does not
+    matter which days are loaded together.
+    """
+    return (
+        scan_days(spark, lake_root, days)
+        .withColumn(loads.DAY, F.make_date("year", "month", "day"))
+        .where(F.to_date("created_at") == F.col(loads.DAY))
+        .drop("year", "month", "day")
+    )
+
+
 def load_raw_days(
     spark: SparkSession, lake_root: str, tables: Tables, days: Sequence[date],
     allow_empty: bool = False,
 ) -> list[date]:
-    """Copy days from the lake to the raw table, by the events' own day.
-
-    Only events of a loaded day are taken: one that arrived in another day's directory
-    is left out, unless that day is loaded too. Returns the days that had events.
-    """
-    events = scan_days(spark, lake_root, days).drop("year", "month", "day")
-    events = events.withColumn(loads.DAY, F.to_date("created_at"))
+    """Copy days from the lake to the raw table; returns the days that had events."""
+    events = lake_events(spark, lake_root, days)
     loads.create_like(events, tables["raw_events"])
     return loads.replace_days(events, tables["raw_events"], days, None, allow_empty)
 

@@ -82,8 +82,7 @@ def refresh_raw(
         loads.full_rebuild(raw, table, FILE_DAY, cluster_by=None)
         return
     loads.retain_days(spark, table, window.start, window.end, FILE_DAY)
-    days = changed_days(landed, spark.table(table))
-    if days:
+    for days in loads.month_parts(changed_days(landed, spark.table(table))):
         raw = scan_files(spark, landing_dir, days)
         loads.replace_days(raw, table, days, None, allow_empty=True, partition_by=FILE_DAY)
 

@@ -124,7 +124,7 @@ def _overwrite_days(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table, overwrite=True)
 
 
-def _loads(days: Sequence[date]) -> Iterator[list[date]]:
+def month_parts(days: Sequence[date]) -> Iterator[list[date]]:
     """Days in order, split so that no load spans more than a month."""
     wanted = sorted(set(days))
     while wanted:
@@ -156,7 +156,7 @@ def replace_days(
     """
     spark = df.sparkSession
     loaded: list[date] = []
-    for part in _loads(days):
+    for part in month_parts(days):
         seen = Observation()
         rows = df.where(F.col(partition_by).isin(part))
         if cluster_by is not None:
@@ -224,7 +224,7 @@ def export_days(df: DataFrame, root: str, days: Sequence[date], day: Column | No
         raise ValueError("several days need a day column")
     dated = df.withColumn(DAY, F.lit(days[0]) if day is None else day)
     names = {"year": "yyyy", "month": "MM", "day": "dd"}
-    for part in _loads(days):
+    for part in month_parts(days):
         seen = Observation()
         rows = dated.where(F.col(DAY).isin(part)).observe(seen, _which_days(part).alias("days"))
         laid_out = rows.select(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from forgepulse.__main__ import main
 from forgepulse.config import DayRange, Tables
+from forgepulse.operators import staging
 from forgepulse.operators.checks import CheckFailed
 from forgepulse.plans import incremental, window
 from forgepulse.plans.dashboard import Dashboard
@@ -155,12 +156,31 @@ def test_both_modes_agree(spark, landed, lake):
     )
 
 
-def test_events_of_another_day_wait_for_that_day(spark, database, tmp_path):
-    root, tables = str(tmp_path), Tables(database)
-    stray = event("stray", f"{DAY2}T00:00:00Z")
-    loads.export_days(raw_frame(spark, day_events(DAY1, [stray])), root, [DAY1])
-    incremental.run_days(spark, root, tables, [DAY1], REPOS)
-    assert loads.partition_days(spark, tables["raw_events"]) == [DAY1]
+def test_events_in_another_days_directory_are_left_out(spark, tmp_path):
+    root = str(tmp_path)
+    stray = event("stray", f"{DAY1}T23:59:59Z")
+    loads.export_days(raw_frame(spark, day_events(DAY1)), root, [DAY1])
+    loads.export_days(raw_frame(spark, day_events(DAY2, [stray])), root, [DAY2])
+    together, single = (Tables(scratch_database(spark, "test")) for _ in range(2))
+    incremental.run_days(spark, root, together, [DAY1, DAY2], REPOS)
+    for day in (DAY1, DAY2):
+        incremental.run_days(spark, root, single, [day], REPOS)
+    for tables in (together, single):
+        assert spark.table(tables["raw_events"]).count() == 10
+
+
+def test_loading_part_of_the_days_reads_only_those(spark, database, lake):
+    """What makes a month's part of a long backfill read that month."""
+    tables = Tables(database)
+    incremental.create_tables(spark, tables)
+    incremental.load_raw_days(spark, lake, tables, DAYS)
+    raw = spark.table(tables["raw_events"])
+    staged = staging.stage_events_by_day(raw).where(F.col(loads.DAY).isin([DAY2]))
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    dated = incremental.lake_events(spark, lake, DAYS).where(F.col(loads.DAY).isin([DAY2]))
+    plan = dated._jdf.queryExecution().executedPlan().toString()
+    assert "make_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_an_empty_day(spark, database, tmp_path):
