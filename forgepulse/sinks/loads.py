@@ -20,15 +20,16 @@ DAY = "event_date"
 CLUSTER_BUCKETS = 1024
 DAYS_PER_LOAD = 31
 
-# Shuffled bytes per task that writes; sorted columns make a file of about half that.
+# Shuffled bytes per task that writes, at most and at least; sorted columns make a file
+# of about half that. In between, work is spread over all cores.
 WRITE_BYTES = "128m"
+SMALLEST_WRITE_BYTES = "24m"
 
 
 def _sized() -> dict[str, str]:
-    """Merge partitions up to that size, rather than keep one for every core."""
     return {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": WRITE_BYTES,
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": SMALLEST_WRITE_BYTES,
     }
 
 
