@@ -95,7 +95,8 @@ def log_ratios(
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("__trusted", F.lit(1))
     marked = docs.select("doc_id", words(F.col("text")).alias("w")).join(small(ids), "doc_id", "left")
     counts = (
-        marked.select(F.explode(ngrams(F.col("w"), buckets)).alias("bucket"), "__trusted")
+        marked.select(F.explode_outer(ngrams(F.col("w"), buckets)).alias("bucket"), "__trusted")
+        .where("bucket IS NOT NULL")
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.count("__trusted").alias("trusted"))
     )

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import line_dedup, quality
+from forgepulse.llm import decontaminate, line_dedup, quality
 from forgepulse.llm.common import table
 from forgepulse.session import prepare
 
@@ -87,3 +87,53 @@ def op8_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "score",
     )
+
+
+@query(r"""
+WITH doc AS (
+  SELECT doc_id, list_filter(
+    str_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+item AS (
+  SELECT item_id, list_filter(
+    str_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'),
+                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+),
+item_window AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n,
+         array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS span
+  FROM item, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0
+),
+doc_window AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS span
+  FROM doc, unnest(range(1, len(w) + 1)) AS t(i), (SELECT DISTINCT n FROM item_window)
+  WHERE i + n - 1 <= len(w)
+),
+hit AS (SELECT doc_id, i, n, item_id FROM doc_window JOIN item_window USING (n, span)),
+words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM hit, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT cast(item_id AS varchar), ',' ORDER BY cast(item_id AS varchar)) AS ids
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
+def op4_decontamination(spark, sf_dir):
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    n_hit = F.size("hit_words").cast("bigint")
+    return decontaminate.contamination(docs, benchmark).select(
+        "doc_id", "n_words", n_hit.alias("n_hit"),
+        F.size("hit_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
