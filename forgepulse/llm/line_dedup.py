@@ -36,9 +36,9 @@ def text_lines(docs: DataFrame) -> DataFrame:
         lambda line, i: F.struct(i.alias("line_no"), line.alias("line")),
     )
     with_words = F.filter(numbered, lambda x: x["line"].rlike(r"[^\x20\x09-\x0D]"))
-    return docs.select(ROW, F.posexplode(with_words).alias("pos", "entry")).select(
-        ROW, "pos", "entry.line_no", "entry.line"
-    )
+    # Outer, because Spark otherwise computes the array a second time to filter by its size.
+    entries = docs.select(ROW, F.posexplode_outer(with_words).alias("pos", "entry"))
+    return entries.where("pos IS NOT NULL").select(ROW, "pos", "entry.line_no", "entry.line")
 
 
 def ranked(counts: DataFrame, group: list[str], block: Column, order: list[str]) -> DataFrame:
@@ -211,7 +211,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     by_doc = runs.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
     nothing = F.array().cast("array<struct<start:int,end:int>>")
     return (
-        rows.join(by_doc, ROW, "left")
+        rows.join(by_doc.hint("merge"), ROW, "left")
         .withColumn("runs", F.coalesce("runs", nothing))
         .withColumn(
             "clean_text",
