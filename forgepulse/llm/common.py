@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from forgepulse.session import scratch_path
+from forgepulse.session import scratch_path, settings
 
 # Space and the five ASCII controls from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -58,6 +59,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_nodes(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """Add `node`, a number of its own for each row, and say whether it is the doc_id.
+
+    It is where ids are unique and never null. Otherwise the rows are written with
+    numbers in order of (doc_id, text), so that the numbers are the same in every task.
+    """
+    ids = docs.select(F.col("doc_id").alias("node"))
+    odd = ids.groupBy("node").count().where("count > 1 OR node IS NULL")
+    if odd.isEmpty():
+        return docs.withColumn("node", F.col("doc_id")), True
+    numbered = docs.orderBy("doc_id", "text").withColumn("node", F.monotonically_increasing_id())
+    return stored(numbered, "nodes"), False
+
+
+@contextmanager
+def python_batches(spark: SparkSession, rows: int = 200) -> Iterator[None]:
+    """Hand few rows at a time to Python, because texts can be very long."""
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        yield
+
+
 # At most this many rows are broadcast: with an id and a flag, some 50 MB.
 BROADCAST_ROWS = 1_000_000
 

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import decontaminate, line_dedup, quality
+from forgepulse.llm import decontaminate, line_dedup, minhash, quality
 from forgepulse.llm.common import table
 from forgepulse.session import prepare
 
@@ -137,3 +137,10 @@ def op4_decontamination(spark, sf_dir):
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query()
+def op3_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
