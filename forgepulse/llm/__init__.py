@@ -1,8 +1 @@
 """Operators of a training-data pipeline over documents and web pages."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions go to the workers by value, so the package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,5 +93,18 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the workers, as --py-files does, once per application."""
+    context = spark.sparkContext
+    if any("forgepulse-" in name for name in context._python_includes):
+        return
+    package = Path(__file__).parents[1]
+    path = Path(tempfile.mkdtemp()) / f"forgepulse-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

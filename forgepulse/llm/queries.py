@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import decontaminate, line_dedup, minhash, quality
-from forgepulse.llm.common import table
+from forgepulse.llm import bitplanes, decontaminate, line_dedup, minhash, packing, quality, sharding
+from forgepulse.llm.common import ship, table
 from forgepulse.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return build(prepare(spark), sf_dir)
 
         QUERIES[build.__name__] = run
@@ -144,3 +145,21 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept"
     )
+
+
+@query()
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op10_token_ids(spark, sf_dir):
+    return bitplanes.round_trip(table(spark, sf_dir, "documents"))
