@@ -8,9 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import bitplanes, decontaminate, line_dedup, minhash, packing, quality, sharding
+from forgepulse.llm import bitplanes, decontaminate, line_dedup, minhash, packing, quality, sharding, warc
 from forgepulse.llm.common import ship, table
-from forgepulse.session import prepare
+from forgepulse.session import prepare, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,3 +163,31 @@ def op9_sharding(spark, sf_dir):
 @query()
 def op10_token_ids(spark, sf_dir):
     return bitplanes.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, cast(strlen(html) AS bigint) AS payload_bytes,
+       (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                 1 + cast(('0b' || substr(bits, i, 5)) AS int), 1), '' ORDER BY i)
+        FROM range(1, 161, 5) AS t(i)) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (SELECT *, cast(cast(unhex(sha1(html)) AS bit) AS varchar) AS bits FROM p)""")
+def op2_warc(spark, sf_dir):
+    """Pages written as archives and read back: responses with their payloads checked,
+    revisits by their headers alone."""
+    path = scratch_path(spark, "warc")
+    warc.archive_pages(table(spark, sf_dir, "pages"), path)
+    columns = "record_id string, record_type string, refers_to string, payload_digest string, payload_bytes bigint"
+    responses = warc.archived(spark, path, columns, verify="true").where("record_type = 'response'")
+    revisits = warc.archived(spark, path, columns).where("record_type = 'revisit'")
+    page = lambda c: F.regexp_extract(c, r":page:(-?\d+)>", 1).try_cast("bigint")
+    return responses.unionByName(revisits).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page("refers_to").alias("refers_to"),
+    )
