@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import bitplanes, decontaminate, line_dedup, minhash, packing, quality, sharding, warc
+from forgepulse.llm import bitplanes, decontaminate, line_dedup, minhash, packing, quality, secrets, sharding, warc
 from forgepulse.llm.common import ship, table
 from forgepulse.session import prepare, scratch_path
 
@@ -191,3 +191,17 @@ def op2_warc(spark, sf_dir):
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         page("refers_to").alias("refers_to"),
     )
+
+
+@query()
+def op6_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
+    samples = secrets.random_strings(docs).unionByName(secrets.ordinary_words(docs, trusted))
+    of_kind = lambda k: F.size(F.filter("base_spans", lambda s: s["kind"] == k)).cast("bigint")
+    return secrets.find_secrets(docs, samples).select(
+        "doc_id",
+        of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"),
+        secrets.listed(F.col("all_spans")).alias("spans"),
+    )
