@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import bitplanes, decontaminate, line_dedup, minhash, packing, quality, secrets, sharding, warc
+from forgepulse.llm import bitplanes, decontaminate, licenses, line_dedup, minhash, packing, quality, secrets, sharding, warc
 from forgepulse.llm.common import ship, table
 from forgepulse.session import prepare, scratch_path
 
@@ -205,3 +205,16 @@ def op6_secret_scan(spark, sf_dir):
         F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"),
         secrets.listed(F.col("all_spans")).alias("spans"),
     )
+
+
+@query()
+def op7_license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = F.transform("found", lambda f: f["license"])
+    places = F.transform("found", lambda f: F.concat_ws(":", f["license"], f["start"].cast("string"), f["end"].cast("string")))
+    return licenses.scan_licenses(docs).select(
+        "doc_id",
+        F.array_join(F.array_sort(F.array_distinct(names)), ",").alias("licenses"),
+        F.size("found").cast("bigint").alias("n_found"),
+        F.array_join(places, ",").alias("places"),
+    )
