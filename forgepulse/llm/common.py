@@ -19,6 +19,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ROW = "__row"
+NODE = "__node"
 
 
 def words(text: Column, separators: str = SPACES) -> Column:
@@ -64,7 +65,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_nodes(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """Add `node`, a number of its own for each row, and say whether it is the doc_id.
+    """Add `__node`, a number of its own for each row, and say whether it is the doc_id.
 
     It is where ids are unique and never null. Otherwise the rows are written with
     numbers in order of (doc_id, text), so that the numbers are the same in every task.
@@ -72,8 +73,8 @@ def with_nodes(docs: DataFrame) -> tuple[DataFrame, bool]:
     ids = docs.select(F.col("doc_id").alias("node"))
     odd = ids.groupBy("node").count().where("count > 1 OR node IS NULL")
     if odd.isEmpty():
-        return docs.withColumn("node", F.col("doc_id")), True
-    numbered = docs.orderBy("doc_id", "text").withColumn("node", F.monotonically_increasing_id())
+        return docs.withColumn(NODE, F.col("doc_id")), True
+    numbered = docs.orderBy("doc_id", "text").withColumn(NODE, F.monotonically_increasing_id())
     return stored(numbered, "nodes"), False
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import python_batches, stored, with_nodes
+from forgepulse.llm.common import NODE, python_batches, stored, with_nodes
 from forgepulse.llm.tokens import token_ids, vocabulary
 
 SEQUENCE = 2048
@@ -139,6 +139,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, limit: int = SEQUEN
     are no rows. Other columns are left out.
     """
     rows, unique = with_nodes(docs.select("doc_id", "text"))
+    rows = rows.withColumnRenamed(NODE, "node")
     with python_batches(docs.sparkSession):
         cut = stored(pieces(rows, path or vocabulary(), limit), "pieces")
     places = sequences(cut.select("node", "piece", "length"), limit)
