@@ -11,10 +11,9 @@ from forgepulse.config import (
     LOOKBACK_DAYS, MIN_FILE_BYTES, DayRange, Tables, parse_day, rolling_window, target_day,
 )
 from forgepulse.plans.incremental import run_days
-from forgepulse.plans.window import run_window
+from forgepulse.plans.window import audit_window, run_window
 from forgepulse.session import prepare
 from forgepulse.sinks.loads import export_days
-from forgepulse.sources import landing
 from forgepulse.sources.lake import scan_source_day
 from forgepulse.sources.ndjson import SCANS
 
@@ -25,13 +24,13 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     window = jobs.add_parser("window", help="rebuild all tables from a window of hourly files")
     window.add_argument("--database", required=True)
-    window.add_argument("--scan", choices=sorted(SCANS), default="fixed")
+    window.add_argument("--scan", choices=sorted(SCANS), default="variant")
 
     audit = jobs.add_parser("audit", help="list missing and undersized hourly files")
     for job in (window, audit):
         job.add_argument("--landing", required=True)
         job.add_argument("--end-date")
-        job.add_argument("--lookback-days", default=LOOKBACK_DAYS)
+        job.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
         job.add_argument("--min-bytes", type=int, default=MIN_FILE_BYTES)
 
     days = jobs.add_parser("days", help="load days from the lake into growing tables")
@@ -67,12 +66,7 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "audit":
         window = rolling_window(args.end_date, args.lookback_days)
-        issues = landing.audit(
-            landing.expected_files(spark, window.start, window.end),
-            landing.landed_files(spark, args.landing),
-            args.min_bytes,
-        )
-        for line in landing.require_sound(issues):
+        for line in audit_window(spark, args.landing, window, args.min_bytes):
             print(line)
     elif args.job == "days":
         if args.start_date:

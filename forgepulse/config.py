@@ -80,20 +80,13 @@ class DayRange:
         return days_in(self.start, self.end)
 
     @classmethod
-    def ending(cls, end: str | date, lookback_days: int | str = LOOKBACK_DAYS) -> DayRange:
-        try:
-            count = int(lookback_days)
-        except (TypeError, ValueError) as exc:
-            raise ValueError(f"lookback_days is not an integer: {lookback_days!r}") from exc
-        if count < 1:
-            raise ValueError(f"lookback_days must be at least 1, got {count}")
+    def ending(cls, end: str | date, length: int | str = LOOKBACK_DAYS) -> DayRange:
+        """The range of so many days whose last is `end`; a length below 1 is no range."""
         last = parse_day(end)
-        return cls(last - timedelta(days=count - 1), last)
+        return cls(last + timedelta(days=1 - int(str(length))), last)
 
 
-def rolling_window(
-    end: str | date | None = None, lookback_days: int | str = LOOKBACK_DAYS
-) -> DayRange:
+def rolling_window(end: str | date | None = None, lookback_days: int | str = LOOKBACK_DAYS) -> DayRange:
     """The days a window run covers; it ends yesterday (UTC) unless told otherwise."""
     return DayRange.ending(end or utc_yesterday(), lookback_days)
 

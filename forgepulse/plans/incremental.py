@@ -12,7 +12,7 @@ from forgepulse import schemas
 from forgepulse.config import SELECTED_REPOS, Tables
 from forgepulse.operators import checks, marts
 from forgepulse.operators.staging import select_repos, stage_events_by_day
-from forgepulse.session import prepare, size_shuffles
+from forgepulse.session import prepare, sized_shuffles
 from forgepulse.sinks import loads
 from forgepulse.sources.lake import lake_day_dir, scan_days
 
@@ -77,7 +77,7 @@ def load_raw_days(
     """Copy days from the lake to the raw table; returns the days that had events."""
     events = lake_events(spark, lake_root, days)
     loads.create_like(events, tables["raw_events"])
-    return loads.replace_days(events, tables["raw_events"], days, None, allow_empty)
+    return loads.replace_days(events, tables["raw_events"], days, None, allow_empty, grow=True)
 
 
 def run_days(
@@ -94,15 +94,36 @@ def run_days(
     A backfill of many days is one set of jobs, not one per day: days are replaced
     together and every step keeps them apart. `marts_keep_stale=False` replaces the
     days of the daily marts instead of merging into them, so groups that are gone
-    from a reloaded day go too.
+    from a reloaded day go too. Days without events, unless allowed, are left as they
+    were and reported by an error after the others have gone through every table.
     """
     prepare(spark)
     days = sorted(set(days))
     create_tables(spark, tables)
-    size_shuffles(spark, lake_bytes(spark, lake_root, days))
-
-    filled = load_raw_days(spark, lake_root, tables, days, allow_empty)
-    loaded = F.col(loads.DAY).isin(days)
+    with sized_shuffles(spark, lake_bytes(spark, lake_root, days)):
+        empty = None
+        try:
+            filled = load_raw_days(spark, lake_root, tables, days, allow_empty)
+        except loads.EmptyDay as error:
+            empty, filled = error, error.loaded
+            days = filled
+        if days:
+            load_from_raw(spark, tables, days, filled, repos, allow_empty, marts_keep_stale)
+        if empty is not None:
+            raise empty
+
+
+def load_from_raw(
+    spark: SparkSession,
+    tables: Tables,
+    days: Sequence[date],
+    filled: Sequence[date],
+    repos: Sequence[str] | DataFrame,
+    allow_empty: bool,
+    marts_keep_stale: bool,
+) -> None:
+    """Every table after the raw one, for days of which `filled` have events."""
+    loaded = F.col(loads.DAY).isin(list(days))
 
     staged = stage_events_by_day(spark.table(tables["raw_events"]).where(loaded))
     loads.replace_days(staged, tables["stg_events"], days, ["repo_name"], allow_empty)

@@ -9,11 +9,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.config import MIN_FILE_BYTES, SELECTED_REPOS, DayRange, Tables
+from forgepulse.config import HOURS_PER_DAY, MIN_FILE_BYTES, SELECTED_REPOS, DayRange, Tables
 from forgepulse.functions.columns import base_name, file_day
 from forgepulse.operators import checks, marts
 from forgepulse.operators.staging import select_repos, stage_events
-from forgepulse.session import prepare, size_shuffles
+from forgepulse.session import prepare, sized_shuffles
 from forgepulse.sinks import loads
 from forgepulse.sources import landing
 from forgepulse.sources.ndjson import SCANS
@@ -47,6 +47,22 @@ def audit_landing(landed: DataFrame, window: DayRange, min_bytes: int = MIN_FILE
     return landed.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def audit_window(
+    spark: SparkSession, landing_dir: str, window: DayRange, min_bytes: int = MIN_FILE_BYTES
+) -> list[str]:
+    """Judge the window's files, and only these: present, large enough, readable to the end.
+
+    Raises on a small or damaged file or if nothing has landed; returns lines about
+    hours that are missing, days that are not whole, and the number of events.
+    """
+    landed = landed_in(spark, landing_dir, window)
+    expected = landing.expected_files(spark, window.start, window.end)
+    lines = landing.require_sound(landing.audit(expected, landed, min_bytes))
+    partial = landing.incomplete_days(expected, landed).orderBy("file_date").collect()  # a row per day
+    lines += [f"{row.file_date}: {row.files} of {HOURS_PER_DAY} files" for row in partial]
+    return [*lines, f"lines: {landing.require_readable(spark, landing_dir, window.days)}"]
+
+
 def _checked(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
     table = spark.table(tables[name])
     checks.require(checks.run_checks(table, checks.WINDOW_CHECKS[name]), name)
@@ -56,28 +72,32 @@ def _checked(spark: SparkSession, tables: Tables, name: str) -> DataFrame:
 def changed_days(landed: DataFrame, raw: DataFrame) -> list[date]:
     """Days whose landed files are not the ones the raw table was loaded from.
 
-    Reads the file name column of the raw table only, and fetches the days.
+    A file is the same if its name, size and time of change are. Reads the columns about
+    files of the raw table only, and fetches the days.
     """
-    loaded = raw.select(base_name(F.col("filename")).alias("filename")).distinct()
-    landed = landed.select("filename")
-    new = landed.join(loaded, "filename", "left_anti")
-    gone = loaded.join(landed, "filename", "left_anti")
+    name = base_name(F.col("filename")).alias("filename")
+    loaded = raw.select(name, F.col("file_bytes").alias("length"), F.col("file_time").alias("time")).distinct()
+    landed = landed.select("filename", "length", "time")
+    new = landed.join(loaded, landed.columns, "left_anti")
+    gone = loaded.join(landed, landed.columns, "left_anti")
     days = new.unionByName(gone).select(file_day(F.col("filename")).alias("day")).distinct()
     return sorted(row.day for row in days.collect() if row.day is not None)
 
 
 def refresh_raw(
     spark: SparkSession, landing_dir: str, landed: DataFrame, table: str, window: DayRange,
-    scan: str = "fixed",
+    scan: str = "variant",
 ) -> None:
     """Bring the raw table to the landed files of the window.
 
-    Days outside of it are dropped, and only days with new or removed files are parsed
-    again, so a daily run decompresses one day rather than the whole window. With an
-    inferred schema, which the files of any day may change, all are.
+    Days outside of it are dropped, and only days with new, changed or removed files are
+    parsed again, so a daily run decompresses one day rather than the whole window. With
+    an inferred schema, which the files of any day may change, all are, and so they are
+    when the table was loaded by another scan.
     """
     scan_files = SCANS[scan]
-    if scan == "inferred" or not spark.catalog.tableExists(table):
+    known = set(spark.table(table).columns) if spark.catalog.tableExists(table) else set()
+    if scan == "inferred" or known != set(scan_files(spark, landing_dir, window.days).columns):
         raw = scan_files(spark, landing_dir, window.days)
         loads.full_rebuild(raw, table, FILE_DAY, cluster_by=None)
         return
@@ -94,22 +114,23 @@ def run_window(
     window: DayRange,
     repos: Sequence[str] | DataFrame = SELECTED_REPOS,
     min_bytes: int = MIN_FILE_BYTES,
-    scan: str = "fixed",
+    scan: str = "variant",
 ) -> None:
     """Land, stage, select and aggregate a window; stops at the first failed check.
 
     Each table is read back from where it was written, so a lost executor costs no
     more than the tables' own tasks, and the files are parsed once for all of them.
-    `scan` names how the files are read: "fixed", "variant" or "inferred".
+    `scan` names how the files are read: "variant" keeps every field, "inferred" finds
+    the schema, and "fixed" keeps the few fields of a narrow one. A file that cannot be
+    read to its end stops the run, and the raw rows of its day stay as they were.
     """
     prepare(spark)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.database}")
     landed = landed_in(spark, landing_dir, window)
-    size_shuffles(spark, audit_landing(landed, window, min_bytes))
-    refresh_raw(spark, landing_dir, landed, tables["raw_events"], window, scan)
-    raw = _checked(spark, tables, "raw_events")
-
-    build_from_raw(spark, raw, tables, repos)
+    with sized_shuffles(spark, audit_landing(landed, window, min_bytes)):
+        refresh_raw(spark, landing_dir, landed, tables["raw_events"], window, scan)
+        raw = _checked(spark, tables, "raw_events")
+        build_from_raw(spark, raw, tables, repos)
 
 
 def build_from_raw(

@@ -19,6 +19,9 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.pushdown.inFilterThreshold": "64",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A damaged or vanished file stops a load instead of shortening it.
+    "spark.sql.files.ignoreCorruptFiles": "false",
+    "spark.sql.files.ignoreMissingFiles": "false",
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -47,18 +50,19 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def size_shuffles(
+@contextmanager
+def sized_shuffles(
     spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20, most: int = 50_000
-) -> int:
-    """Start shuffles with enough partitions for an input of this size.
+) -> Iterator[int]:
+    """Inside the block, start shuffles with enough partitions for an input of this size.
 
     Adaptive execution merges partitions that turn out small but cannot add any, so
     the number is only ever raised. Above `most` the partitions get larger and spill.
     """
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(floor, min(most, -(-input_bytes // partition_bytes)))
-    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    return wanted
+    with settings(spark, {INITIAL_PARTITIONS: str(wanted)}):
+        yield wanted
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -69,7 +73,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if spark.conf.get("spark.master", "local").split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="forgepulse-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -5,6 +5,7 @@ The built-in catalog has no MERGE or DELETE, so days are replaced as partitions.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from datetime import date
 from functools import reduce
@@ -44,7 +45,15 @@ def _in_place() -> dict[str, str]:
 
 
 class EmptyDay(RuntimeError):
-    """A day to be replaced has no new rows."""
+    """Days to be replaced have no new rows; `loaded` are the days that had."""
+
+    def __init__(self, message: str, loaded: Sequence[date] = ()):
+        super().__init__(message)
+        self.loaded = list(loaded)
+
+
+class UnknownColumns(ValueError):
+    """Rows have columns that the table has not."""
 
 
 def spread(df: DataFrame, cluster_by: Sequence[str], partition_by: str = DAY) -> DataFrame:
@@ -75,17 +84,97 @@ def full_rebuild(
     partition_by: str | None = None,
     cluster_by: Sequence[str] | None = (),
 ) -> None:
-    """Replace the whole table with the rows of `df`, which must not read from it.
+    """Replace the whole table with the rows of `df`; if that fails the old rows stay.
+
+    A table in one piece is written beside the old one and then takes its name. Of a
+    table with partitions the written ones are swapped in by the commit of the write,
+    and those without new rows are dropped after it.
 
     `cluster_by=None` writes rows where they are, without a shuffle or a sort.
     """
-    if partition_by and cluster_by is not None:
-        df = clustered(df, cluster_by, partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    with settings(df.sparkSession, _in_place() if cluster_by is None else _sized()):
-        writer.saveAsTable(table)
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    sized = _in_place() if cluster_by is None else _dynamic()
+    if not partition_by:
+        _swapped(df, table, exists, sized)
+        return
+    laid_out = df if cluster_by is None else spread(df, cluster_by, partition_by)
+    seen, old = Observation(), []
+    if exists and set(spark.table(table).columns) == set(df.columns):
+        old = partition_days(spark, table)
+        laid_out = laid_out.observe(seen, *_days_with_rows(old, partition_by))
+    elif exists:
+        # Other columns: all rows are made beside the old ones before these go.
+        beside = f"{table}__new_{uuid.uuid4().hex[:8]}"
+        _swapped(df, beside, False, sized)
+        laid_out, exists = spark.table(beside), False
+        if cluster_by is not None:
+            laid_out = spread(laid_out, cluster_by, partition_by)
+    else:
+        beside = None
+    if cluster_by is not None:
+        laid_out = laid_out.sortWithinPartitions(partition_by, *cluster_by)
+    with settings(spark, sized):
+        if exists:
+            _overwrite_days(laid_out, table)
+            for day in _without_rows(seen, old):
+                drop_day(spark, table, day, partition_by)
+            return
+        laid_out.write.mode("overwrite").format("parquet").partitionBy(partition_by).saveAsTable(table)
+    if beside:
+        spark.sql(f"DROP TABLE {beside}")
+
+
+def _swapped(df: DataFrame, table: str, exists: bool, sized: dict[str, str]) -> None:
+    """Write a table without partitions under another name, then rename it."""
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex[:8]
+    fresh, former = f"{table}__fresh_{mark}", f"{table}__former_{mark}"
+    try:
+        with settings(spark, sized):
+            df.write.format("parquet").saveAsTable(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    if exists:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    if exists:
+        spark.sql(f"DROP TABLE {former}")
+
+
+DAYS_PER_METRIC = 62
+
+
+def _days_with_rows(days: Sequence[date | None], day_column: str) -> list[Column]:
+    """Metrics that tell which of the days have rows: a bit for each."""
+    none = F.count(F.when(F.col(day_column).isNull(), 1)).alias("none")
+    metrics = [none]
+    for k, first in enumerate(_blocks(days)):
+        offset = F.datediff(F.col(day_column), F.lit(first))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), offset)
+        inside = offset.between(0, DAYS_PER_METRIC - 1)
+        metrics.append(F.bit_or(F.when(inside, bit).otherwise(0)).alias(f"block{k}"))
+    return metrics
+
+
+def _blocks(days: Sequence[date | None]) -> list[date]:
+    firsts: list[date] = []
+    for day in sorted(d for d in days if d is not None):
+        if not firsts or (day - firsts[-1]).days >= DAYS_PER_METRIC:
+            firsts.append(day)
+    return firsts
+
+
+def _without_rows(seen: Observation, days: Sequence[date | None]) -> list[date | None]:
+    metrics = seen.get
+    blocks = _blocks(days)
+    gone = [] if metrics.get("none") or None not in days else [None]
+    for day in (d for d in days if d is not None):
+        k = max(i for i, first in enumerate(blocks) if first <= day)
+        if not (metrics.get(f"block{k}") or 0) >> (day - blocks[k]).days & 1:
+            gone.append(day)
+    return gone
 
 
 def create_if_absent(
@@ -108,10 +197,11 @@ def create_like(df: DataFrame, table: str, partition_by: str = DAY) -> None:
         empty.write.format("parquet").partitionBy(partition_by).saveAsTable(table)
 
 
-def drop_day(spark: SparkSession, table: str, day: date, partition_by: str = DAY) -> None:
-    spark.sql(
-        f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = DATE '{day}')"
-    )
+def drop_day(
+    spark: SparkSession, table: str, day: date | None, partition_by: str = DAY
+) -> None:
+    value = "NULL" if day is None else f"DATE '{day}'"
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by} = {value})")
 
 
 def _which_days(days: Sequence[date], day_column: str = DAY) -> Column:
@@ -120,8 +210,26 @@ def _which_days(days: Sequence[date], day_column: str = DAY) -> Column:
     return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), offset))
 
 
+def add_columns(df: DataFrame, table: str) -> None:
+    """Give a table the columns of `df` that it lacks; its old rows have nulls there."""
+    known = {c.lower() for c in df.sparkSession.table(table).columns}
+    for field in df.schema:
+        if field.name.lower() not in known:
+            kind = field.dataType.simpleString()
+            df.sparkSession.sql(f"ALTER TABLE {table} ADD COLUMNS (`{field.name}` {kind})")
+
+
 def _overwrite_days(df: DataFrame, table: str) -> None:
-    columns = df.sparkSession.table(table).columns
+    """Columns go by name; one the rows lack is null, one the table lacks is an error."""
+    fields = df.sparkSession.table(table).schema
+    given = {c.lower() for c in df.columns}
+    unknown = given - {f.name.lower() for f in fields}
+    if unknown:
+        raise UnknownColumns(f"{table} has no column {', '.join(sorted(unknown))}")
+    columns = [
+        F.col(f.name) if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in fields
+    ]
     df.select(*columns).write.insertInto(table, overwrite=True)
 
 
@@ -146,6 +254,7 @@ def replace_days(
     cluster_by: Sequence[str] | None = (),
     allow_empty: bool = False,
     partition_by: str = DAY,
+    grow: bool = False,
 ) -> list[date]:
     """Make the given days of a table equal to those days of `df`; other days stay.
 
@@ -153,9 +262,12 @@ def replace_days(
     error after the others are written, and its old rows stay; with `allow_empty` its
     partition is dropped instead. Returns the days that had rows.
 
-    `cluster_by=None` writes rows where they are, without a shuffle or a sort.
+    `cluster_by=None` writes rows where they are, without a shuffle or a sort. With
+    `grow`, columns that the table lacks are added to it; otherwise they are an error.
     """
     spark = df.sparkSession
+    if grow:
+        add_columns(df, table)
     loaded: list[date] = []
     for part in month_parts(days):
         seen = Observation()
@@ -171,7 +283,7 @@ def replace_days(
         loaded += _seen_days(seen, part)
     empty = sorted(set(days) - set(loaded))
     if empty and not allow_empty:
-        raise EmptyDay(f"{table}: no rows for {', '.join(map(str, empty))}")
+        raise EmptyDay(f"{table}: no rows for {', '.join(map(str, empty))}", loaded)
     for day in empty:
         drop_day(spark, table, day, partition_by)
     return loaded

@@ -35,10 +35,12 @@ def scan_days(spark: SparkSession, root: str, days: Sequence[date]) -> DataFrame
     """Raw events exported for the given days, with year, month and day columns.
 
     Only the directories of those days are listed, however long the lake's history;
-    days without a directory are skipped, and it is an error when none exists.
+    days without a directory are skipped, and it is an error when none exists. Columns
+    that only some of the days have are null for the others.
     """
     dirs = ",".join(map(lake_day_dir, days))
-    return spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/{{{dirs}}}")
+    reader = spark.read.option("basePath", root).option("mergeSchema", "true")
+    return reader.parquet(f"{root.rstrip('/')}/{{{dirs}}}")
 
 
 def scan_lake_days(spark: SparkSession, root: str, start: date, end: date) -> DataFrame:

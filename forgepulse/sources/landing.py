@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgepulse.config import HOURS_PER_DAY, MIN_FILE_BYTES
@@ -32,13 +32,16 @@ def expected_files(spark: SparkSession, start: date, end: date) -> DataFrame:
 def landed_files(
     spark: SparkSession, landing_dir: str, days: Sequence[date] | None = None
 ) -> DataFrame:
-    """(filename, length, path) of the files present; a listing, contents are not read."""
+    """(filename, length, time, path) of the files present; contents are not read."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", files_of(days))
         .load(landing_dir)
     )
-    return listing.select(base_name(F.col("path")).alias("filename"), "length", "path")
+    return listing.select(
+        base_name(F.col("path")).alias("filename"), "length",
+        F.col("modificationTime").alias("time"), "path",
+    )
 
 
 def missing_files(expected: DataFrame, landed: DataFrame) -> DataFrame:
@@ -72,16 +75,14 @@ def incomplete_days(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 def missing_report(expected: DataFrame, landed: DataFrame, shown: int = 10) -> DataFrame:
     """(filename, files): the first missing names in order, then the number left over."""
-    missing = missing_files(expected, landed)
-    named = missing.orderBy("filename").limit(shown).select(
-        "filename", F.lit(1).cast("bigint").alias("files")
-    )
-    rest = (
-        missing.agg((F.count("*") - shown).alias("files"))
-        .where("files > 0")
-        .select(F.lit(None).cast("string").alias("filename"), "files")
+    by_name = Window.orderBy("filename")  # a row per expected hour at most
+    place = F.when(F.row_number().over(by_name) <= shown, F.col("filename"))
+    return (
+        missing_files(expected, landed)
+        .select(place.alias("filename"))
+        .groupBy("filename")
+        .agg(F.count("*").alias("files"))
     )
-    return named.unionByName(rest)
 
 
 def audit(
@@ -126,15 +127,17 @@ def readable_lines(spark: SparkSession, landing_dir: str) -> DataFrame:
     )
 
 
-def require_readable(spark: SparkSession, landing_dir: str) -> int:
-    """Decompress every landed file to its end and count the lines; Spark's error names
-    the first file that is damaged."""
+def require_readable(
+    spark: SparkSession, landing_dir: str, days: Sequence[date] | None = None
+) -> int:
+    """Decompress the landed files to their end and count the lines; the error names the
+    first file that is damaged."""
     with settings(spark, {"spark.sql.files.ignoreCorruptFiles": "false"}):
-        return spark.read.option("pathGlobFilter", FILES).text(landing_dir).count()
+        return spark.read.option("pathGlobFilter", files_of(days)).text(landing_dir).count()
 
 
 def require_sound(issues: DataFrame, shown: int = 10) -> list[str]:
-    """Raise if there is an error; otherwise the first missing files as text.
+    """Raise if there is an error; otherwise name the first hours that have not landed.
 
     Only counts and `shown` names are fetched, however many files have an issue.
     """
@@ -152,5 +155,5 @@ def require_sound(issues: DataFrame, shown: int = 10) -> list[str]:
         return []
     names = issues.orderBy("filename").limit(shown).collect()
     total = sum(row.files for row in counts)
-    lines = [f"missing file: {row.filename}" for row in names]
-    return lines + [f"and {total - shown} more missing files"] * (total > shown)
+    lines = [f"not landed: {row.filename}" for row in names]
+    return lines + [f"hours not landed beyond these: {total - shown}"] * (total > shown)

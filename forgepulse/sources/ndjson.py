@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forgepulse import schemas
+from forgepulse.config import HOURS_PER_DAY
 from forgepulse.functions.columns import file_day
 from forgepulse.session import settings
 
@@ -18,10 +19,15 @@ CORRUPT = "_corrupt_record"
 
 
 def files_of(days: Sequence[date] | None) -> str:
-    """Pattern for the hourly files of some days, or of all."""
+    """Pattern for the hourly files of some days, or for every file.
+
+    Of given days only the names of their 24 hours match: whatever else lies beside
+    them has not been audited and is not read.
+    """
     if days is None:
         return FILES
-    return "{" + ",".join(d.isoformat() for d in days) + "}-" + FILES
+    hours = ",".join(map(str, range(HOURS_PER_DAY)))
+    return "{" + ",".join(d.isoformat() for d in days) + "}-{" + hours + "}.json.gz"
 
 
 def _reader(spark: SparkSession, days: Sequence[date] | None, malformed: str):
@@ -32,9 +38,19 @@ def _reader(spark: SparkSession, days: Sequence[date] | None, malformed: str):
     )
 
 
-def _with_file(df: DataFrame) -> DataFrame:
+def _file_columns() -> list[Column]:
+    """The file a row came from, its day, and what tells one delivery of it from another."""
     path = F.col("_metadata.file_path")
-    return df.select("*", path.alias("filename"), file_day(path).alias("file_date"))
+    return [
+        path.alias("filename"),
+        F.col("_metadata.file_size").alias("file_bytes"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        file_day(path).alias("file_date"),
+    ]
+
+
+def _with_file(df: DataFrame) -> DataFrame:
+    return df.select("*", *_file_columns())
 
 
 def scan_ndjson(
@@ -73,10 +89,7 @@ def scan_ndjson_variant(
         else F.to_json(F.variant_get("body", "$.payload", "variant")).alias("payload")
         for f in fields
     ]
-    path = F.col("_metadata.file_path")
-    return lines.select(
-        *columns, "body", path.alias("filename"), file_day(path).alias("file_date")
-    )
+    return lines.select(*columns, "body", *_file_columns())
 
 
 def scan_ndjson_inferred(
@@ -103,12 +116,10 @@ def scan_ndjson_inferred(
             for name, kind in found.items()
         ]
         absent = [f for f in T.StructType.fromDDL(schemas.RAW) if f.name not in found]
-        path = F.col("_metadata.file_path")
         return events.select(
             *columns,
             *(F.lit(None).cast(f.dataType).alias(f.name) for f in absent),
-            path.alias("filename"),
-            file_day(path).alias("file_date"),
+            *_file_columns(),
         )
 
 

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from forgepulse.session import INITIAL_PARTITIONS, scratch_path, settings, size_shuffles
+from forgepulse.session import INITIAL_PARTITIONS, scratch_path, settings, sized_shuffles
 
 
 def test_settings_are_put_back(spark):
@@ -17,11 +17,11 @@ def test_settings_are_put_back(spark):
 
 def test_shuffles_grow_with_the_input(spark):
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with settings(spark, {INITIAL_PARTITIONS: str(floor)}):
-        assert size_shuffles(spark, 0) == floor
-        assert size_shuffles(spark, 100 << 30) == 400
-        assert spark.conf.get(INITIAL_PARTITIONS) == "400"
-        assert size_shuffles(spark, 100 << 40) == 50_000
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    for size, partitions in ((0, floor), (100 << 30, 400), (100 << 40, 50_000)):
+        with sized_shuffles(spark, size) as n:
+            assert n == partitions == int(spark.conf.get(INITIAL_PARTITIONS))
+        assert spark.conf.get(INITIAL_PARTITIONS, None) == before
 
 
 def test_scratch_is_shared(spark):

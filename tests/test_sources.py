@@ -148,7 +148,7 @@ def test_missing_hour_is_a_warning(spark, tmp_path):
     expected, landed = landing.expected_files(spark, DAY1, DAY1), landing.landed_files(spark, path)
     issues = landing.audit(expected, landed, min_bytes=10)
     assert values(issues, "*") == [("warn", "missing", "2026-03-01-23.json.gz")]
-    assert landing.require_sound(issues) == ["missing file: 2026-03-01-23.json.gz"]
+    assert landing.require_sound(issues) == ["not landed: 2026-03-01-23.json.gz"]
     assert values(landing.incomplete_days(expected, landed), "*") == [(DAY1, 23)]
 
 
@@ -159,7 +159,7 @@ def test_many_missing_are_summed_up(spark, tmp_path):
     assert len(report) == 11
     assert [tuple(r) for r in report if r.filename is None] == [(None, 13)]
     lines = landing.require_sound(landing.audit(expected, landed, min_bytes=10))
-    assert len(lines) == 11 and lines[-1] == "and 13 more missing files"
+    assert len(lines) == 11 and lines[-1] == "hours not landed beyond these: 13"
 
 
 def test_small_file_and_empty_directory_are_errors(spark, tmp_path):
