@@ -39,6 +39,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def settled(df: DataFrame, new: dict[str, Column]) -> DataFrame:
+    """Add or replace columns that later filters may look at.
+
+    Spark moves a filter below the projection it looks at and puts the columns' own
+    expressions in it, where those inside a lambda are computed for every element. It
+    does not move a filter below a generator, which here makes one row of each.
+    """
+    rest = [c for c in df.columns if c not in new]
+    row = F.struct(*(c.alias(name) for name, c in new.items()))
+    return df.select(*rest, F.explode_outer(F.array(row)).alias("__new")).select(*rest, "__new.*")
+
+
 def keyed(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Add a key that tells rows apart even where ids repeat or are null.
 

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import ROW, keyed, lower_ascii, small, stored, words
+from forgepulse.llm.common import ROW, keyed, lower_ascii, settled, small, stored, words
 
 WINDOW = 10
 GRAM = 5
@@ -137,12 +137,14 @@ def contamination(
     w = F.col("__words")
     positions = F.array_sort(F.array_distinct(F.flatten(F.transform("__hits", lambda x: x["positions"]))))
     listed = F.transform("__hits", lambda x: x["item_id"].cast("string"))
-    return (
+    compared = (
         rows.join(found.hint("merge"), ROW, "left")
         .withColumn("__words", item_words(F.col("text")))
         .withColumn("__hits", F.when(F.col("__found").isNull(), nothing).otherwise(hits(w, F.col("__found"), window)))
-        .withColumn("n_words", F.size(w).cast("bigint"))
-        .withColumn("hit_words", positions)
-        .withColumn("hit_items", F.array_sort(F.array_distinct(F.array_compact(listed))))
-        .drop(ROW, "__words", "__hits", "__found")
     )
+    new = {
+        "n_words": F.size(w).cast("bigint"),
+        "hit_words": positions,
+        "hit_items": F.array_sort(F.array_distinct(F.array_compact(listed))),
+    }
+    return settled(compared, new).drop(ROW, "__words", "__hits", "__found")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import ROW, keyed, let, stored, words
+from forgepulse.llm.common import ROW, keyed, let, settled, stored, words
 
 MIN_WORDS = 25
 
@@ -210,12 +210,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = repeated_runs(rows.select(ROW, "text"), min_words)
     by_doc = runs.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
     nothing = F.array().cast("array<struct<start:int,end:int>>")
-    return (
-        rows.join(by_doc.hint("merge"), ROW, "left")
-        .withColumn("runs", F.coalesce("runs", nothing))
-        .withColumn(
-            "clean_text",
-            F.when(F.size("runs") == 0, F.col("text")).otherwise(without_runs(F.col("text"), F.col("runs"))),
-        )
-        .drop(ROW)
-    )
+    joined = rows.join(by_doc.hint("merge"), ROW, "left").withColumn("runs", F.coalesce("runs", nothing))
+    whole = F.size("runs") == 0
+    clean = F.when(whole, F.col("text")).otherwise(without_runs(F.col("text"), F.col("runs")))
+    return settled(joined, {"clean_text": clean}).drop(ROW)

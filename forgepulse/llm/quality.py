@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import small, stored, words
+from forgepulse.llm.common import settled, small, stored, words
 
 BUCKETS = 1 << 14
 PRIOR = 16 * BUCKETS
@@ -124,7 +124,8 @@ def score(w: Column, weights: Column, buckets: int) -> Column:
 
 
 def judged(
-    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, min_score: float = MIN_SCORE
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, min_score: float = MIN_SCORE,
+    prior: int = PRIOR,
 ) -> DataFrame:
     """All rows and columns of `docs`, with `n_words`, `word_chars`, `n_symbols`,
     `n_dup_lines`, `n_repeat_words`, `score`, `base_failed` and `kept`.
@@ -136,16 +137,17 @@ def judged(
     A null text counts as empty: no words, failed. Repeated rows are judged alike, each
     counted in the corpus. Without trusted documents all scores are 0. Columns with the names added here are replaced.
     """
-    weights = log_ratios(docs, trusted, buckets).scalar()
+    weights = log_ratios(docs, trusted, buckets, prior).scalar()
     w, packed, bits = F.col("__words"), F.col("__packed"), F.col("__bits")
-    found = (
+    split = (
         docs.withColumn("__words", words(F.col("text")))
         .withColumn("__weights", weights)
         .withColumn("__bits", position_bits(w))
         .withColumn("__packed", packed_windows(w, bits))
-        .withColumns(measures(F.col("text"), w, packed, bits) | {"score": score(w, F.col("__weights"), buckets)})
-        .drop("__words", "__packed", "__weights", "__bits")
     )
+    found = settled(
+        split, measures(F.col("text"), w, packed, bits) | {"score": score(w, F.col("__weights"), buckets)}
+    ).drop("__words", "__packed", "__weights", "__bits")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return found.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= min_score)
