@@ -17,13 +17,15 @@ from pyspark.sql import types as T
 
 from forgepulse.llm.common import python_batches
 
-# A sentence ends at a stop before white space, at a blank line, or with the text. A stop
-# inside a version such as 2.0 does not end it.
-SENTENCE_END = re.compile(r"[.!?:;](?=\s|$)|\n[ \t\r]*(?=\n)")
+# A sentence ends at a stop before white space, at a blank line, after a line with a
+# licence tag, or with the text. A stop inside a version such as 2.0 does not end it.
+SENTENCE_END = re.compile(
+    r"(?i:spdx-license-identifier:)[^\n]*|[.!?;](?=\s|$)|\n[ \t\r]*(?=\n)"
+)
 NOISE = re.compile(r"[^a-z0-9.]+|\.(?![0-9])|(?<![0-9])\.")
 
 # Every sentence below has one of these words; texts without any are not cut.
-WORDS = ("licen", "copyright", "permission", "redistribut", "warrant", "spdx", "as is", "dedicate")
+WORDS = ("licen", "copyright", "permission", "redistribut", "warrant", "spdx", "as is", "dedicate", "endorse")
 
 # Openings and phrases of the licences' own sentences, normalised.
 SENTENCES = [

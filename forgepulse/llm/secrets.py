@@ -11,7 +11,7 @@ of the matches and of the gaps between them, which splitting by the same pattern
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgepulse.llm.common import let
@@ -113,7 +113,8 @@ def ordinary_words(docs: DataFrame, trusted: DataFrame, documents: int = SAMPLE_
 def log_ratios(samples: DataFrame) -> DataFrame:
     """One row with `weights`: log(random / ordinary) of each pair of characters.
 
-    Estimated as the chance of the second after the first, one added to each count.
+    Each model is the chance of the second character after the first. Where a model has
+    seen the first too rarely to tell, its chance of the second after any other counts.
     """
     pairs = samples.select(
         F.explode_outer(F.transform(steps(F.col("text")), lambda i: transition(F.col("text"), i))).alias("pair"),
@@ -124,12 +125,17 @@ def log_ratios(samples: DataFrame) -> DataFrame:
         .groupBy("pair")
         .agg(F.count_if("random").alias("random"), F.count_if(~F.col("random")).alias("ordinary"))
     )
+    # One row per pair of the alphabet.
     every = samples.sparkSession.range(STATES * STATES).select(F.col("id").cast("int").alias("pair"))
-    full = every.join(counts, "pair", "left").fillna(0).withColumn("first", F.floor(F.col("pair") / STATES))
-    totals = full.groupBy("first").agg(F.sum("random").alias("randoms"), F.sum("ordinary").alias("ordinaries"))
-    chance = lambda n, total: F.log((F.col(n) + 1.0) / (F.col(total) + float(STATES)))
-    weight = chance("random", "randoms") - chance("ordinary", "ordinaries")
-    rows = full.join(totals, "first").select(F.struct("pair", weight.alias("weight")).alias("x"))
+    full = every.join(counts, "pair", "left").fillna(0)
+    full = full.withColumn("before", F.floor(F.col("pair") / STATES)).withColumn("after", F.col("pair") % STATES)
+    total = lambda n, *by: F.sum(n).over(Window.partitionBy(*by, F.lit(0)))
+
+    def chance(n: str) -> Column:
+        anywhere = (total(n, "after") + 1.0) / (total(n) + float(STATES))
+        return F.log((F.col(n) + STATES * anywhere) / (total(n, "before") + float(STATES)))
+
+    rows = full.select(F.struct("pair", (chance("random") - chance("ordinary")).alias("weight")).alias("x"))
     return rows.agg(F.sort_array(F.collect_list("x"))["weight"].alias("weights"))
 
 
