@@ -12,7 +12,7 @@ def opened(path: str, mode: str) -> Any:
     system, inner = fs.FileSystem.from_uri(path)
     if mode == "wb":
         system.create_dir(inner.rpartition("/")[0], recursive=True)
-        return system.open_output_stream(inner)
+        return system.open_output_stream(inner, compression=None)
     return system.open_input_file(inner)
 
 

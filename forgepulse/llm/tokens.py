@@ -2,23 +2,26 @@
 
 The vocabulary file drops white space and never joins across it, so a text's ids are
 those of its chunks between spaces and line ends, in order. Chunks repeat; each worker
-encodes a chunk once and remembers it, up to a bound. A chunk of plain ASCII needs no
-Unicode normalisation and its pieces are found by a short expression; any other goes
-through the whole tokenizer.
+encodes a chunk once and remembers it, up to a bound. A chunk of ASCII and Latin-1
+letters is its own normal form and its pieces are found by a short expression; any other
+goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import re
 from functools import cache
-
-import numpy as np
+from struct import pack
 
 MOST_CHUNKS = 500_000
 SPECIAL = "<|"
 
-# How this tokenizer splits ASCII text that is in lower case.
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t\n\x0b\x0c\r a-z0-9]+")
+# Letters of Latin-1 that are neither signs nor numbers.
+PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+# How this tokenizer splits such text in lower case.
+PIECES = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\x0b\x0c\r a-z0-9ß-öø-ÿ]+"
+)
 
 
 def vocabulary() -> str:
@@ -52,9 +55,10 @@ class TokenIds:
         return b"".join(map(self.chunks.__getitem__, chunks))
 
     def learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if c.isascii() and SPECIAL not in c]
-        others = [c for c in chunks if not c.isascii() or SPECIAL in c]
-        split = [ASCII_PIECES.findall(c.lower()) for c in plain]
+        plain, others = [], []
+        for c in chunks:
+            (plain if PLAIN.fullmatch(c) and SPECIAL not in c else others).append(c)
+        split = [PIECES.findall(c.lower()) for c in plain]
         if len(self.known) > MOST_CHUNKS:
             self.known.clear()
         fresh = list({p for pieces in split for p in pieces}.difference(self.known))
@@ -67,7 +71,7 @@ class TokenIds:
     @staticmethod
     def encoded(tokenizer, texts: list[str]) -> list[bytes]:
         batch = tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(e.ids, "<u4").tobytes() for e in batch]
+        return [pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in batch)]
 
 
 @cache

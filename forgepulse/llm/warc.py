@@ -254,13 +254,13 @@ class WarcReader(DataSourceReader):
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Take equality and membership on header columns; leave the rest to Spark."""
+        column = lambda f: f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+        taken = {id(f): f for f in filters if isinstance(f, EqualTo | In) and column(f) in HEADERS}
+        for f in taken.values():
+            self.wanted.append((column(f), tuple(f.value) if isinstance(f, In) else (f.value,)))
+        sure = {name for name, _ in self.wanted}  # not null where they pass
         for f in filters:
-            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if isinstance(f, EqualTo) and name in HEADERS:
-                self.wanted.append((name, (f.value,)))
-            elif isinstance(f, In) and name in HEADERS:
-                self.wanted.append((name, tuple(f.value)))
-            elif not (isinstance(f, IsNotNull) and any(n == name for n, _ in self.wanted)):
+            if id(f) not in taken and not (isinstance(f, IsNotNull) and column(f) in sure):
                 yield f
 
     def partitions(self) -> list[Part]:
