@@ -34,11 +34,12 @@ class TokenIds:
     """Little-endian unsigned 32-bit ids of texts, as bytes."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
         # For pieces that are already split and in lower case.
         self.pieces = Tokenizer.from_file(path)
+        self.pieces.normalizer = normalizers.Sequence([])
         self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.chunks: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
