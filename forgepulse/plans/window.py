@@ -16,7 +16,7 @@ from forgepulse.operators.staging import select_repos, stage_events
 from forgepulse.session import prepare, sized_shuffles
 from forgepulse.sinks import loads
 from forgepulse.sources import landing
-from forgepulse.sources.ndjson import SCANS
+from forgepulse.sources.ndjson import SCANS, columns_of
 
 log = logging.getLogger(__name__)
 
@@ -97,7 +97,7 @@ def refresh_raw(
     """
     scan_files = SCANS[scan]
     known = set(spark.table(table).columns) if spark.catalog.tableExists(table) else set()
-    if scan == "inferred" or known != set(scan_files(spark, landing_dir, window.days).columns):
+    if known != columns_of(scan):
         raw = scan_files(spark, landing_dir, window.days)
         loads.full_rebuild(raw, table, FILE_DAY, cluster_by=None)
         return

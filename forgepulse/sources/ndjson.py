@@ -123,4 +123,12 @@ def scan_ndjson_inferred(
         )
 
 
+def columns_of(scan: str) -> set[str] | None:
+    """The columns of a scan whose schema does not depend on the files."""
+    if scan == "inferred":
+        return None
+    known = {*T.StructType.fromDDL(schemas.RAW).names, "filename", "file_bytes", "file_time", "file_date"}
+    return known | {"body"} if scan == "variant" else known
+
+
 SCANS = {"fixed": scan_ndjson, "variant": scan_ndjson_variant, "inferred": scan_ndjson_inferred}

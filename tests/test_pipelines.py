@@ -86,13 +86,13 @@ def test_window_moves_and_parses_only_changed_days(spark, database, landed, monk
     tables = Tables(database)
     run_window(spark, landed, tables, DayRange(DAY1, DAY2))
     parsed = []
-    scan = window.SCANS["fixed"]
+    scan = window.SCANS["variant"]
 
     def recorded(spark, path, days):
         parsed.append(list(days))
         return scan(spark, path, days)
 
-    monkeypatch.setitem(window.SCANS, "fixed", recorded)
+    monkeypatch.setitem(window.SCANS, "variant", recorded)
     run_window(spark, landed, tables, DayRange(DAY2, DAY3))
     assert parsed == [[DAY3]]
     assert sorted(loads.partition_days(spark, tables["raw_events"])) == [DAY2, DAY3]
