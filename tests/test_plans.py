@@ -16,6 +16,7 @@ from forgepulse.sources import landing
 from forgepulse.sources.ndjson import scan_ndjson
 from tests.builders import event, land, raw_frame
 from workload.feed import END, START, raw_events
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -34,7 +35,7 @@ def count(text, operator):
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(contract.queries().keys() - PIPELINES))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - PIPELINES))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     for operator in (
