@@ -3,6 +3,10 @@
 Words and word pairs are hashed into buckets. Two multinomials over the buckets are
 estimated, one from trusted documents and one from all; a document's score is the mean
 of log(trusted / raw) over its n-grams. A few plain rules come first.
+
+Smoothing is a share of the counts it is added to, and the least score to keep comes from
+trusted documents that were left out of the counts. So a verdict depends on what the
+corpus holds, not on how much of it there is.
 """
 
 from __future__ import annotations
@@ -13,7 +17,16 @@ from pyspark.sql import functions as F
 from forgepulse.llm.common import settled, small, stored, words
 
 BUCKETS = 1 << 14
-PRIOR = 16 * BUCKETS
+# Smoothing, as shares of the trusted and of the raw n-grams.
+PRIOR_SHARE = 0.1
+RAW_SHARE = 1 / 64
+# One in `HELD_OUT` trusted documents is left out of the counts. At most `LOSS` of these
+# score below the threshold, which is a multiple of 1 / `GRID`; with fewer than
+# `LEAST_HELD` of them it is MIN_SCORE.
+HELD_OUT = 4
+LOSS = 0.02
+GRID = 1024
+LEAST_HELD = 10
 MIN_SCORE = -0.045
 SYMBOLS = "#*$%&|<>"
 
@@ -81,12 +94,12 @@ def ngrams(w: Column, buckets: int) -> Column:
 
 
 def log_ratios(
-    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: int = PRIOR
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: int | None = None
 ) -> DataFrame:
     """One row with `weights`: log(trusted / raw) of each bucket.
 
-    Raw counts get one added. Trusted counts get `prior` n-grams spread like the raw
-    ones, so that with little trusted text the ratios stay near one.
+    Raw counts get `RAW_SHARE` of their total added, in equal parts. Trusted counts get
+    `prior` n-grams, `PRIOR_SHARE` of their total unless given, spread like the raw ones.
 
     `docs` is the raw corpus, all of it; `trusted` holds the doc_ids of trusted documents.
     Each task reduces its counts to one row per bucket before they are shuffled, and the
@@ -103,7 +116,9 @@ def log_ratios(
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     counted = stored(every.join(counts, "bucket", "left").fillna(0), "ngrams")
     totals = counted.agg(F.sum("raw").alias("raws"), F.sum("trusted").alias("trusteds")).first()
-    raw = (F.col("raw") + 1.0) / float(totals["raws"] + buckets)
+    added = totals["raws"] * RAW_SHARE or 1.0
+    prior = prior or totals["trusteds"] * PRIOR_SHARE or 1.0
+    raw = (F.col("raw") + added / buckets) / float(totals["raws"] + added)
     weight = F.log((F.col("trusted") + prior * raw) / float(totals["trusteds"] + prior)) - F.log(raw)
     listed = F.sort_array(F.collect_list(F.struct("bucket", weight.alias("weight"))))
     return counted.agg(listed["weight"].alias("weights"))
@@ -123,25 +138,62 @@ def score(w: Column, weights: Column, buckets: int) -> Column:
     return F.when(last >= 0, total / (2 * last + 1)).otherwise(0.0)
 
 
+def held_out(trusted: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Trusted doc_ids to count and, if there are enough, those to derive a threshold from."""
+    held = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(HELD_OUT)) == 0
+    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    if ids.where(held).limit(LEAST_HELD).count() < LEAST_HELD:
+        return ids, None
+    return ids.where(~held), ids.where(held)
+
+
+def least_score(held: DataFrame) -> float:
+    """The highest multiple of 1 / `GRID` that at most `LOSS` of the held-out documents
+    that pass the plain rules score below; of a repeated id the lowest score counts."""
+    steps = held.where("NOT base_failed").groupBy("doc_id").agg(F.floor(F.min("score") * GRID).alias("step"))
+    counts = steps.groupBy("step").count().orderBy("step").collect()
+    total, below = sum(r["count"] for r in counts), 0
+    if total < LEAST_HELD:
+        return MIN_SCORE
+    for r in counts:
+        below += r["count"]
+        if below > LOSS * total:
+            return r["step"] / GRID
+    return MIN_SCORE
+
+
 def judged(
-    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, min_score: float = MIN_SCORE,
-    prior: int = PRIOR,
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, min_score: float | None = None,
+    prior: int | None = None,
 ) -> DataFrame:
     """All rows and columns of `docs`, with `n_words`, `word_chars`, `n_symbols`,
     `n_dup_lines`, `n_repeat_words`, `score`, `base_failed` and `kept`.
 
     A document fails the plain rules with fewer than 50 words or when more than half of
     its words lie in repeated three-word windows. Of the others those are kept whose
-    score is at least `min_score`; a score equal to it is kept.
+    score is at least `min_score`; a score equal to it is kept. Unless it is given, it is
+    derived from trusted documents held out of the counts (see `held_out`).
 
     A null text counts as empty: no words, failed. Repeated rows are judged alike, each
     counted in the corpus. Without trusted documents all scores are 0. Columns with the names added here are replaced.
     """
-    weights = log_ratios(docs, trusted, buckets, prior).scalar()
+    counted, held = held_out(trusted) if min_score is None else (trusted, None)
+    weights = stored(log_ratios(docs, counted, buckets, prior), "weights")
+    found = scored(docs, weights, buckets)
+    if min_score is None:
+        min_score = MIN_SCORE
+        if held is not None:
+            some = docs.select("doc_id", "text").join(small(held), "doc_id", "left_semi")
+            min_score = least_score(scored(some, weights, buckets))
+    return found.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= min_score))
+
+
+def scored(docs: DataFrame, weights: DataFrame, buckets: int) -> DataFrame:
+    """`docs` with the measures, `score` and `base_failed`."""
     w, packed, bits = F.col("__words"), F.col("__packed"), F.col("__bits")
     split = (
         docs.withColumn("__words", words(F.col("text")))
-        .withColumn("__weights", weights)
+        .withColumn("__weights", weights.scalar())
         .withColumn("__bits", position_bits(w))
         .withColumn("__packed", packed_windows(w, bits))
     )
@@ -149,9 +201,7 @@ def judged(
         split, measures(F.col("text"), w, packed, bits) | {"score": score(w, F.col("__weights"), buckets)}
     ).drop("__words", "__packed", "__weights", "__bits")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return found.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= min_score)
-    )
+    return found.withColumn("base_failed", failed)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -216,6 +217,26 @@ def test_quality_separates_held_out_junk(spark):
     assert kept[True, True, False] and not kept[True, True, True]
 
 
+def test_quality_verdicts_do_not_depend_on_the_amount_of_text(spark):
+    """Each row counted many times, with the defaults of the registered query."""
+    vocabulary = prose(7, 300).split()
+    drawn = lambda k, n: " ".join(random.Random(k).choices(vocabulary, k=n))
+    good = [(k, drawn(k, 80), "en", "s", 1) for k in range(120)]
+    junk = [(1000 + k, drawn(1000 + k, 80).upper(), "en", "s", 1) for k in range(40)]
+    mixed = [(2000 + k, drawn(2000 + k, 60) + " " + drawn(3000 + k, 20).upper(), "en", "s", 1) for k in range(40)]
+    trusted = spark.createDataFrame([(k,) for k in range(80)], "doc_id bigint")
+    rows = good + junk + mixed
+
+    def kept(times):
+        got = quality.judged(table(spark, rows * times), trusted).select("doc_id", "kept").distinct().collect()
+        assert len(got) == len(rows)
+        return {r.doc_id for r in got if r.kept}
+
+    once = kept(1)
+    assert once == kept(40)
+    assert not once & set(range(1000, 1040)) and len(once & set(range(120))) >= 114
+
+
 # -- secrets ---------------------------------------------------------------------------
 
 
