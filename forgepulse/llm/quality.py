@@ -31,41 +31,44 @@ MIN_SCORE = -0.045
 SYMBOLS = "#*$%&|<>"
 
 
-def position_bits(w: Column) -> Column:
-    return F.ceil(F.log2(F.size(w) + F.lit(1.0))).cast("int")
-
-
-def packed_windows(w: Column, bits: Column) -> Column:
-    """The text's three-word windows, sorted: a hash, with the position in the low bits.
-
-    One sort of numbers so puts equal windows next to each other. A text of n words
-    leaves 64 - log2(n) bits for the hash.
-    """
+def sorted_windows(w: Column) -> Column:
+    """The text's three-word windows, (hash, pos), sorted, so that equal ones are neighbours."""
     n = F.size(w) - 2
     hashed = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-    window = lambda i: F.call_function("shiftleft", hashed(i), bits) + i
+    window = lambda i: F.struct(hashed(i).alias("hash"), i.alias("pos"))
     positions = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     return F.sort_array(F.transform(positions, window))
 
 
-def covered_words(packed: Column, bits: Column) -> Column:
-    """Words in windows that occur twice or more."""
-    apart = lambda x, y: F.call_function("shiftright", x.bitwiseXOR(y), bits)
-    same = lambda i, x: F.coalesce(apart(F.get(packed, i), x) == 0, F.lit(False))
-    repeated = F.filter(packed, lambda x, i: same(i + 1, x) | same(i - 1, x))
-    position = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
+def covered_words(w: Column, windows: Column) -> Column:
+    """Words in windows that occur twice or more.
+
+    Neighbours with equal hashes are compared word by word.
+    """
+
+    def same(x: Column, y: Column) -> Column:
+        word = lambda p, k: F.get(w, p["pos"] + k)
+        equal = x["hash"] == y["hash"]
+        for k in range(3):
+            equal = equal & (word(x, k) == word(y, k))
+        return F.coalesce(equal, F.lit(False))
+
+    repeated = F.filter(
+        windows, lambda x, i: same(F.get(windows, i + 1), x) | same(F.get(windows, i - 1), x)
+    )
     zero = F.lit(0).cast("bigint")
     return F.aggregate(
-        F.sort_array(F.transform(repeated, position)),
+        F.sort_array(F.transform(repeated, lambda x: x["pos"])),
         F.struct(zero.alias("covered"), zero.alias("end")),
         lambda a, p: F.struct(
-            (a["covered"] + p + 3 - F.greatest(p, a["end"])).alias("covered"), (p + 3).alias("end")
+            (a["covered"] + p + 3 - F.greatest(p, a["end"])).alias("covered"),
+            (p + F.lit(3).cast("bigint")).alias("end"),
         ),
         lambda a: a["covered"],
     )
 
 
-def measures(text: Column, w: Column, packed: Column, bits: Column) -> dict[str, Column]:
+def measures(text: Column, w: Column, windows: Column) -> dict[str, Column]:
     """What the plain rules look at."""
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -75,7 +78,7 @@ def measures(text: Column, w: Column, packed: Column, bits: Column) -> dict[str,
         "word_chars": F.length(F.array_join(w, "")).cast("bigint"),
         "n_symbols": F.when(text.rlike("[#*$%&|<>]"), symbols).otherwise(0).cast("bigint"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint"),
-        "n_repeat_words": covered_words(packed, bits),
+        "n_repeat_words": covered_words(w, windows),
     }
 
 
@@ -190,16 +193,15 @@ def judged(
 
 def scored(docs: DataFrame, weights: DataFrame, buckets: int) -> DataFrame:
     """`docs` with the measures, `score` and `base_failed`."""
-    w, packed, bits = F.col("__words"), F.col("__packed"), F.col("__bits")
+    w, windows = F.col("__words"), F.col("__windows")
     split = (
         docs.withColumn("__words", words(F.col("text")))
         .withColumn("__weights", weights.scalar())
-        .withColumn("__bits", position_bits(w))
-        .withColumn("__packed", packed_windows(w, bits))
+        .withColumn("__windows", sorted_windows(w))
     )
     found = settled(
-        split, measures(F.col("text"), w, packed, bits) | {"score": score(w, F.col("__weights"), buckets)}
-    ).drop("__words", "__packed", "__weights", "__bits")
+        split, measures(F.col("text"), w, windows) | {"score": score(w, F.col("__weights"), buckets)}
+    ).drop("__words", "__windows", "__weights")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return found.withColumn("base_failed", failed)
 

@@ -237,6 +237,24 @@ def test_quality_verdicts_do_not_depend_on_the_amount_of_text(spark):
     assert not once & set(range(1000, 1040)) and len(once & set(range(120))) >= 114
 
 
+def test_windows_with_equal_hashes_are_compared(spark):
+    """With one hash for all windows, only those of equal words count as repeated."""
+    texts = [prose(60, 90), prose(61, 70) + " " + prose(61, 20), "a b c d a b c"]
+    docs = table(spark, [(k, t, "en", "s", 1) for k, t in enumerate(texts)])
+    w = quality.words(F.col("text"))
+    spread = docs.select("doc_id", w.alias("w"))
+    hashed = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))
+    # Sorted by the true hash, so equal windows are neighbours, all under the hash 0.
+    windows = F.array_sort(F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.struct(hashed(i).alias("full"), i.alias("pos"))))
+    coarse = F.transform(windows, lambda x: F.struct(F.lit(0).cast("bigint").alias("hash"), x["pos"].alias("pos")))
+    got = {r.doc_id: r.n for r in spread.select("doc_id", quality.covered_words(F.col("w"), coarse).alias("n")).collect()}
+    for k, text in enumerate(texts):
+        split = text.split()
+        counts = Counter(zip(split, split[1:], split[2:], strict=False))
+        covered = {p + j for p in range(len(split) - 2) if counts[tuple(split[p : p + 3])] > 1 for j in range(3)}
+        assert got[k] == len(covered)
+
+
 # -- secrets ---------------------------------------------------------------------------
 
 
