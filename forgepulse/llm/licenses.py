@@ -98,15 +98,27 @@ def recognised(text: str | None) -> list[tuple[str, list[str], int, int]]:
     low = (text or "").lower()
     if not any(w in low for w in WORDS):
         return []
-    ids = []  # (number among all sentences, id, parts of the match, start, end)
-    for n, (plain, start, end) in enumerate(sentences(text)):
-        for name, pattern in KNOWN:
-            if m := pattern.search(plain):
-                ids.append((n, name, m.groupdict(), start, end))
-                break
+    ids = []  # (number, consecutive where nothing unknown lies between, id, parts of the match, start, end)
+    n = 0
+    for plain, start, end in sentences(text):
+        for name, parts in known(plain) or [(None, {})]:
+            if name is not None:
+                ids.append((n, name, parts, start, end))
+            n += 1
     return matched(ids)
 
 
+def known(plain: str) -> list[tuple[str, dict]]:
+    """(id, parts) of the known matches of a sentence, apart from each other, in order of
+    place. Where matches overlap, the pattern listed first counts."""
+    found = []
+    for name, pattern in KNOWN:
+        for m in pattern.finditer(plain):
+            if all(m.end() <= start or end <= m.start() for start, end, _, _ in found):
+                found.append((m.start(), m.end(), name, m.groupdict()))
+    return [(name, parts) for _, _, name, parts in sorted(found, key=lambda f: f[:2])]
+
+
 def matched(ids: list[tuple]) -> list[tuple[str, list[str], int, int]]:
     found, taken = [], set()
     for licence, wanted in RULES:
@@ -116,9 +128,9 @@ def matched(ids: list[tuple]) -> list[tuple[str, list[str], int, int]]:
             if [x[1] for x in run] == wanted and follows and not taken.intersection(range(at, at + len(wanted))):
                 taken.update(range(at, at + len(wanted)))
                 parts = {k: v.upper().replace(" ", "-") for x in run for k, v in x[2].items() if v}
-                found.append((licence.format(**parts), wanted, run[0][3], run[-1][4]))
-    found += [(f"part:{x[1]}", [x[1]], x[3], x[4]) for i, x in enumerate(ids) if i not in taken]
-    return sorted(found, key=lambda f: f[2:])
+                found.append((at, (licence.format(**parts), wanted, run[0][3], run[-1][4])))
+    found += [(i, (f"part:{x[1]}", [x[1]], x[3], x[4])) for i, x in enumerate(ids) if i not in taken]
+    return [f for _, f in sorted(found, key=lambda f: f[0])]
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:

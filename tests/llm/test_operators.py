@@ -317,6 +317,16 @@ def test_license_rules(spark):
     assert licenses.scan_licenses(table(spark, clashes=True)).count() == len(awkward())
 
 
+def test_several_licenses_in_a_sentence():
+    found = lambda text: [f[0] for f in licenses.recognised(text)]
+    mit, apache = "licensed under the MIT License", "licensed under the Apache License, Version 2.0"
+    assert found(f"This is {mit} or {apache}.") == ["MIT", "Apache-2.0"]
+    assert found(f"This is {apache} or {mit}.") == ["Apache-2.0", "MIT"]
+    gpl = "licensed under the GNU General Public License, version"
+    assert found(f"It is {gpl} 2 or {gpl} 3 or {mit}.") == ["GPL-2", "GPL-3", "MIT"]
+    assert found(f"It is {mit} and redistributions in binary form must reproduce the above copyright notice.") == ["MIT", "part:bsd-binary"]
+
+
 def test_every_license_sentence_has_a_screened_word():
     for _, pattern in licenses.SENTENCES:
         low = pattern.lower()
