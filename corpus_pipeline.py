@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs go; so does a document of which nothing is left."""
     ready(spark)
-    cleaned = line_dedup.dedup_lines(docs).where("size(runs) = 0 OR clean_text IS NOT NULL")
+    cleaned = line_dedup.dedup_lines(docs, whole=True).where("size(runs) = 0 OR clean_text IS NOT NULL")
     text = F.col("clean_text")
     new = {"text": text, "n_chars": F.when(F.size("runs") > 0, F.length(text)).otherwise(F.col("n_chars"))}
     return cleaned.select(

@@ -10,8 +10,10 @@ soon as that is known, which is after the first step for nearly all of them.
 Whether a run may be deleted is known once it holds `min_words` words, so a suffix is
 compared up to the line that completes them: for a window of l lines, h <= l < 2h, the
 pair (rank at i, rank at i + l - h) names its interval. In each interval the first
-position stays and the windows of all others go; windows that overlap or touch make up
-the maximal repeated run. No line disappears from the corpus altogether, because the
+position stays and the windows of all others go; windows that overlap or touch are one
+run. Its last lines stay where they hold fewer words than that after the last window's
+start. With `whole`, the same is done for the lines in reverse, whose windows end at each
+line, and together they cover the maximal repeated run. No line disappears from the corpus altogether, because the
 first occurrence of each line is never a later copy.
 """
 
@@ -102,9 +104,9 @@ def decisive_windows(suffixes: DataFrame, min_words: int) -> DataFrame:
     )
 
 
-def later_copies(decided: DataFrame) -> DataFrame:
+def later_copies(decided: DataFrame, mirrored: bool = False) -> DataFrame:
     """Windows of suffixes that are not the first of their interval."""
-    place = F.struct(ROW, "pos")
+    place = F.struct(ROW, (-F.col("pos") if mirrored else F.col("pos")).alias("pos"))
     key = ["rank", "tail", "window"]
     intervals = decided.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n"))
     return (
@@ -114,14 +116,30 @@ def later_copies(decided: DataFrame) -> DataFrame:
     )
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Maximal runs of lines to delete: (row, start, end), line numbers from 0, both included.
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+    """Runs of lines to delete: (row, start, end), line numbers from 0, both included.
 
     Takes the output of `keyed`. A run holds at least `min_words` words and repeats one
     that comes earlier in (doc_id, line) order. Lines without a word do not count as
-    lines of a run, but go with it when they lie inside.
+    lines of a run, but go with it when they lie inside. With `whole`, runs reach to
+    the last line they repeat.
     """
-    suffixes = stored(decisive_windows(line_ranks(text_lines(docs)), min_words), "suffixes")
+    lines = line_ranks(text_lines(docs))
+    if not whole:
+        return merged(window_copies(lines, min_words))
+    lines = stored(lines, "lines")
+    mirrored = lines.withColumn("pos", -F.col("pos")).withColumn("line_no", -F.col("line_no"))
+    backward = window_copies(mirrored, min_words, mirrored=True)
+    backward = backward.select(ROW, (-F.col("end")).alias("start"), (-F.col("start")).alias("end"))
+    return merged(window_copies(lines, min_words).unionByName(backward))
+
+
+def window_copies(lines: DataFrame, min_words: int, mirrored: bool = False) -> DataFrame:
+    """Windows of `min_words` words that are later copies: (row, start, end).
+
+    `mirrored` lines have their numbers negated, and still the first copy stays.
+    """
+    suffixes = stored(decisive_windows(lines, min_words), "suffixes")
     longest = suffixes.agg(F.max("window")).first()[0] or 0
     windows = suffixes.where("window IS NOT NULL").drop("rank")
     ranks = suffixes.select(ROW, "pos", "rank")
@@ -135,7 +153,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .withColumn("tail_pos", F.col("pos") + F.col("window") - h)
             .join(tails, [ROW, "tail_pos"])
         )
-        found.append(stored(later_copies(decided), "copies"))
+        found.append(stored(later_copies(decided, mirrored), "copies"))
         if 2 * h <= longest:
             ranks = doubled(ranks, windows.where(F.col("window") >= 2 * h), h)
         h *= 2
@@ -145,7 +163,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     copies = found[0]
     for more in found[1:]:
         copies = copies.unionByName(more)
-    return merged(copies)
+    return copies
 
 
 def doubled(ranks: DataFrame, windows: DataFrame, h: int) -> DataFrame:
@@ -195,11 +213,12 @@ def without_runs(text: Column, runs: Column) -> Column:
     return let(let(F.split(text, "\n", -1), kept), joined)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """All rows and columns of `docs`, with later copies of repeated line runs deleted.
 
     Adds `runs` (array of (start, end) of deleted lines, empty where nothing was) and
-    `clean_text` (null where the text is null or no line is left).
+    `clean_text` (null where the text is null or no line is left). `whole` is that of
+    `repeated_runs`.
 
     A null or empty text has no runs; a null text stays null, an empty one empty. Rows
     that share a doc_id are told apart by their text's order, and a null doc_id sorts
@@ -207,7 +226,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     whatever their names, except for `runs` and `clean_text`, which are replaced.
     """
     rows = keyed(docs.drop("runs", "clean_text"))
-    runs = repeated_runs(rows.select(ROW, "text"), min_words)
+    runs = repeated_runs(rows.select(ROW, "text"), min_words, whole)
     by_doc = runs.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
     nothing = F.array().cast("array<struct<start:int,end:int>>")
     joined = rows.join(by_doc.hint("merge"), ROW, "left").withColumn("runs", F.coalesce("runs", nothing))

@@ -73,6 +73,28 @@ def test_line_dedup(spark, least):
     assert lines(w[2] for w in want) == lines(r[1] for r in rows)
 
 
+def test_line_dedup_of_whole_runs(spark):
+    """Against all common runs of at least 25 words, tails shorter than that included."""
+    rng = random.Random(4)
+    lines = [prose(100 + k, rng.choice([2, 5, 9, 30])) for k in range(12)]
+    texts = ["\n".join([prose(1, 30), prose(2, 5), "first own"]), "\n".join(["second own", prose(1, 30), prose(2, 5), "", prose(3, 3)])]
+    for k in range(25):
+        at = rng.randrange(8)
+        texts.append("\n".join([f"own {k}", *lines[at : at + rng.randint(1, 6)], "", f"own too {k}", *lines[: rng.randrange(5)]]))
+    texts.append("\n".join(lines[3:6] * 4))
+    seqs = [[(n, x) for n, x in enumerate(t.split("\n")) if x] for t in texts]
+    first, gone = {}, defaultdict(set)
+    for k, seq in enumerate(seqs):
+        for i in range(len(seq)):
+            for j in range(i, len(seq)):
+                run = tuple(x for _, x in seq[i : j + 1])
+                if sum(len(x.split()) for x in run) >= 25 and first.setdefault(run, (k, i)) != (k, i):
+                    gone[k].update(range(seq[i][0], seq[j][0] + 1))
+    rows = [(k, t, "en", "s", 1) for k, t in enumerate(texts)]
+    got = {r.doc_id: {n for x in r.runs for n in range(x.start, x.end + 1)} for r in line_dedup.dedup_lines(table(spark, rows), whole=True).collect()}
+    assert got == {k: gone[k] for k in range(len(texts))} and {1, 2} <= got[1]
+
+
 # -- minhash ---------------------------------------------------------------------------
 
 
