@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,12 +54,15 @@ def main() -> None:
     for _ in range(3):
         for name in WARM_UP:
             seconds(spark, QUERIES[name])
-    timings = {}
+    timings, failed = {}, {}
     for name, build in QUERIES.items():
         runs = 1 if name in ONCE else RUNS
-        if runs > 1:
-            seconds(spark, build)
-        timings[name] = round(statistics.median(seconds(spark, build) for _ in range(runs)), 3)
+        try:
+            if runs > 1:
+                seconds(spark, build)
+            timings[name] = round(statistics.median(seconds(spark, build) for _ in range(runs)), 3)
+        except Exception as error:  # one broken query must not cost the others their figures
+            failed[name] = f"{type(error).__name__}: {error}".splitlines()[0]
     print(
         json.dumps(
             {
@@ -66,11 +70,14 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "failed": failed,
                 "sf": SF_DIR.rsplit("sf", 1)[-1],
             }
         )
     )
     spark.stop()
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

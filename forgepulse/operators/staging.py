@@ -7,7 +7,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from forgepulse import schemas
 from forgepulse.functions.columns import event_day
 
 ALL_REPOS = "All repos"
@@ -77,6 +79,11 @@ def stage_events_by_day(raw: DataFrame) -> DataFrame:
     return dedup_latest(events, within=["event_date"])
 
 
+def staging_columns(events: DataFrame) -> DataFrame:
+    """The columns of the incremental staging tables, which do not keep a file name."""
+    return events.select(*T.StructType.fromDDL(schemas.STAGING).names, "event_date")
+
+
 def select_repos(events: DataFrame, repos: Sequence[str] | DataFrame) -> DataFrame:
     """Events of the listed repositories, compared exactly.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from forgepulse import schemas
 from forgepulse.config import SELECTED_REPOS, Tables
 from forgepulse.operators import checks, marts
-from forgepulse.operators.staging import select_repos, stage_events_by_day
+from forgepulse.operators.staging import select_repos, stage_events_by_day, staging_columns
 from forgepulse.session import prepare, sized_shuffles
 from forgepulse.sinks import loads
 from forgepulse.sources.lake import lake_day_dir, scan_days
@@ -125,7 +125,7 @@ def load_from_raw(
     """Every table after the raw one, for days of which `filled` have events."""
     loaded = F.col(loads.DAY).isin(list(days))
 
-    staged = stage_events_by_day(spark.table(tables["raw_events"]).where(loaded))
+    staged = staging_columns(stage_events_by_day(spark.table(tables["raw_events"]).where(loaded)))
     loads.replace_days(staged, tables["stg_events"], days, ["repo_name"], allow_empty)
     _check_days(spark, tables, "stg_events", filled)
 

@@ -14,6 +14,7 @@ from forgepulse.config import DayRange, Tables
 from forgepulse.plans import incremental, window
 from forgepulse.sinks import loads
 from forgepulse.sources import lake
+from tests.builders import event, raw_frame, values
 
 DAY = date(2026, 3, 1)
 NEXT = date(2026, 3, 2)
@@ -140,3 +141,12 @@ def test_audit_looks_at_its_window_only(spark, tmp_path, capsys):
     (folder / f"{DAY}-7.json.gz").write_bytes((folder / f"{DAY}-7.json.gz").read_bytes()[:90])
     with pytest.raises(Exception, match=f"{DAY}-7.json.gz"):
         main(args)
+
+
+def test_lake_days_with_a_file_name_are_staged(spark, database, tmp_path):
+    root, tables = str(tmp_path / "lake"), Tables(database)
+    raw = raw_frame(spark, [event(1, "2026-03-01T05:00:00Z")], ["2026-03-01-5.json.gz"])
+    loads.export_days(raw, root, [DAY])
+    incremental.run_days(spark, root, tables, [DAY])
+    assert "filename" in spark.table(tables["raw_events"]).columns
+    assert values(spark.table(tables["stg_events"]), "event_id") == [("1",)]

@@ -308,11 +308,10 @@ def replace_day(spark, sf_dir):
     incremental.create_tables(spark, tables)
     table = tables["stg_events"]
     raw = raw_events(spark, sf_dir).withColumn(loads.DAY, F.to_date("created_at"))
-    others = staging.stage_events_by_day(raw.where("type <> 'click'"))
+    staged = lambda events: staging.staging_columns(staging.stage_events_by_day(events))
+    others = staged(raw.where("type <> 'click'"))
     loads.replace_days(others, table, MONTH, ["repo_name"], allow_empty=True)
-    loads.replace_days(
-        staging.stage_events_by_day(staging.on_day(raw, END)), table, [END], ["repo_name"]
-    )
+    loads.replace_days(staged(staging.on_day(raw, END)), table, [END], ["repo_name"])
     return spark.table(table)
 
 
