@@ -8,7 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import bitplanes, decontaminate, licenses, line_dedup, minhash, packing, quality, secrets, sharding, warc
+from forgepulse.llm import (
+    alignment, bitplanes, collocations, decontaminate, language, licenses, line_dedup, minhash, packing,
+    quality, secrets, sharding, warc,
+)
 from forgepulse.llm.common import ship, table
 from forgepulse.session import prepare, scratch_path
 
@@ -218,3 +221,58 @@ def op7_license_scan(spark, sf_dir):
         F.size("found").cast("bigint").alias("n_found"),
         F.array_join(places, ",").alias("places"),
     )
+
+
+@query()
+def op11_token_alignment(spark, sf_dir):
+    aligned = alignment.align_documents(table(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+@query()
+def op12_language_id(spark, sf_dir):
+    return language.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(str_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+seq AS (
+  SELECT lang, list_filter(str_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece
+),
+gram AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM seq, (SELECT unnest(range(1, 6)) AS k), unnest(range(1, len(w) - k + 2)) AS t(i)
+  GROUP BY ALL
+),
+size AS (SELECT lang, cast(sum(f) AS bigint) AS n FROM gram WHERE k = 1 GROUP BY lang),
+candidate AS (
+  SELECT lang, k, phrase, f AS a, str_split(phrase, ' ') AS w FROM gram WHERE k > 1 AND f >= 100
+),
+cut AS (
+  SELECT c.lang, c.phrase, c.w, c.k, c.a, c.j, l.f AS l, r.f AS r, n,
+         cast((1000::hugeint * c.a * n) // (l.f::hugeint * r.f) AS bigint) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidate) c
+  JOIN gram l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : j], ' ')
+  JOIN gram r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1 : c.k], ' ')
+  JOIN size ON size.lang = c.lang
+),
+best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+),
+part AS (
+  SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidate, (SELECT unnest(range(2, 5)) AS m), unnest(range(1, k - m + 2)) AS t(i)
+  WHERE m < k GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM best LEFT JOIN part USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000""")
+def op13_collocations(spark, sf_dir):
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
