@@ -16,9 +16,9 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,9 +29,7 @@ from forgepulse.llm.common import python_batches, stored
 from forgepulse.llm.perfect_hash import HashTable, dense_counts, hash_table
 
 # Units a worker remembers, and characters of all of them.
-MOST_UNITS, MOST_CHARS = 100_000, 4_000_000
-# Distinct pairs a task holds before it hands them on.
-MOST_PAIRS = 500_000
+MOST_UNITS, MOST_CHARS = 200_000, 4_000_000
 PLACE = 32
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -60,20 +58,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def linked(a_ends: list[int], b_ends: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Overlapping tokens (i, j) of two cuts of the same bytes, and where both end tokens."""
-    links, cuts = [], []
-    i = j = 0
-    while i < len(a_ends):
-        links.append((i, j))
-        a_end, b_end = a_ends[i], b_ends[j]
-        if a_end <= b_end:
-            i += 1
-        if b_end <= a_end:
-            j += 1
-        if a_end == b_end:
-            cuts.append((i, j))
-    return links, cuts
+def runs_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of these lengths, laid end to end, start and end."""
+    ends = np.cumsum(counts)
+    return ends - counts, ends
 
 
 class Aligner:
@@ -87,9 +75,8 @@ class Aligner:
         self.a.encode_special_tokens = True
         letters = byte_letters()
         self.a_bytes = {
-            i: bytes(letters[c] for c in entry)
-            for entry, i in self.a.get_vocab(with_added_tokens=False).items()
-            if all(c in letters for c in entry)
+            i: bytes(letters[c] for c in entry) if all(c in letters for c in entry) else b""
+            for entry, i in self.a.get_vocab().items()
         }
         self.b = SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [
@@ -98,72 +85,107 @@ class Aligner:
             for i in range(self.b.get_piece_size())
         ]
         self.space = self.b.piece_to_id("▁")
+        self.a_sizes = np.zeros(self.a.get_vocab_size(), np.int64)
+        for i, entry in self.a_bytes.items():
+            self.a_sizes[i] = len(entry)
+        self.b_sizes = np.fromiter(map(len, self.b_bytes), np.int64, len(self.b_bytes))
+        self.names = np.array([str(i) for i in range(max(len(self.a_sizes), len(self.b_sizes)))], object)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str] = []
-        self.pairs: list[np.ndarray] = []
-        self.valid: list[bool] = []
-        self.figures = np.zeros((1024, len(FIGURES)), np.int64)
         self.chars = 0
+        self.valid = np.zeros(0, bool)
+        self.figures = np.zeros((0, len(FIGURES)), np.int64)
+        self.pairs, self.pairs_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    @property
+    def full(self) -> bool:
+        return len(self.known) > MOST_UNITS or self.chars > MOST_CHARS
 
     def places(self, texts: list[list[str]], table: HashTable | None) -> list[list[int]]:
-        """The number of each unit of each text; new units are aligned first."""
-        if len(self.known) > MOST_UNITS or self.chars > MOST_CHARS:
-            self.forget()
+        """The number of each unit of each text; new units are aligned first. With a table
+        units are scored and their groups kept, without one their pairs are."""
         new = list({u for units in texts for u in units}.difference(self.known))
-        for at in range(0, len(new), 5000):
-            self.learn(new[at : at + 5000], table)
-        return [[self.known[u] for u in units] for units in texts]
+        for at in range(0, len(new), 20_000):
+            self.learn(new[at : at + 20_000], table)
+        return [list(map(self.known.__getitem__, units)) for units in texts]
 
     def learn(self, units: list[str], table: HashTable | None) -> None:
-        first = len(self.groups)
+        """Align units, all at once, as tokens laid out over one stretch of bytes."""
+        first = len(self.figures)
+        self.known |= {u: first + k for k, u in enumerate(units)}
+        self.chars += sum(map(len, units))
         a_ids = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b_ids = self.b.encode(units, num_threads=1)
-        rows = []
-        for unit, a, b in zip(units, a_ids, b_ids, strict=True):
-            rows.append(self.align(unit, a, b or [self.space]))
-            self.known[unit] = first + len(rows) - 1
-            self.chars += len(unit)
-        while len(self.figures) < first + len(rows):
-            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-        if rows:
-            self.figures[first : first + len(rows), :4] = rows
-        if table is not None:
-            self.score(first, table)
-
-    def align(self, unit: str, a: list[int], b: list[int]) -> tuple[int, int, int, int]:
-        a_bytes = [self.a_bytes.get(i, b"") for i in a]
-        b_bytes = [self.b_bytes[i] for i in b]
-        whole = (" " + unit).encode("utf-8", "surrogatepass")
-        right = b"".join(a_bytes) == whole == b"".join(b_bytes)
-        links, cuts = [], []
-        if right:
-            links, cuts = linked(
-                np.cumsum([*map(len, a_bytes)]).tolist(), np.cumsum([*map(len, b_bytes)]).tolist()
-            )
-        groups, i, j = [], 0, 0
-        for to_i, to_j in cuts:
-            groups.append(",".join(map(str, a[i:to_i])) + "|" + ",".join(map(str, b[j:to_j])))
-            i, j = to_i, to_j
-        self.valid.append(right)
-        self.groups.append(";".join(groups))
-        self.pairs.append(np.array([a[i] << PLACE | b[j] for i, j in links], np.int64))
-        return len(a), len(b), len(cuts), len(links)
-
-    def score(self, first: int, table: HashTable) -> None:
-        """Look up the counts of the units from `first` on; their pairs are not kept."""
-        pairs = self.pairs[first:]
-        keys = np.concatenate([*pairs, np.zeros(0, np.int64)])
-        distinct, back = np.unique(keys, return_inverse=True)
+        b_ids = [ids or [self.space] for ids in self.b.encode(units, num_threads=1)]
+        wholes = [(" " + u).encode("utf-8", "surrogatepass") for u in units]
+        valid = self.faithful(wholes, a_ids, b_ids)
+        if not valid.all():
+            none: list[int] = []
+            a_ids, b_ids = ([i if ok else none for i, ok in zip(x, valid, strict=True)] for x in (a_ids, b_ids))
+            wholes = [w if ok else b"" for w, ok in zip(wholes, valid, strict=True)]
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a_ids, b_ids))
+        n_a, n_b, size = (np.fromiter(map(len, x), np.int64, len(units)) for x in (a_ids, b_ids, wholes))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        total = int(size.sum())
+        ends_a, ends_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+        ends_a[a_ends] = ends_b[b_ends] = True
+        # Between two ends next to each other lies what one token of either side shares.
+        ends = np.flatnonzero(ends_a | ends_b)
+        pairs = a[np.searchsorted(a_ends, ends)] << PLACE | b[np.searchsorted(b_ends, ends)]
+        unit_ends = np.cumsum(size)
+        cuts = np.flatnonzero(ends_a & ends_b)
+        per_unit = lambda at: np.bincount(np.searchsorted(unit_ends, at), minlength=len(units))
+        n_links, n_groups = per_unit(ends), per_unit(cuts)
+        figures = np.zeros((len(units), len(FIGURES)), np.int64)
+        figures[:, :4] = np.stack([n_a, n_b, n_groups, n_links], axis=1)
+        if table is None:
+            self.pairs = np.concatenate([self.pairs, pairs])
+            self.pairs_of = np.concatenate([self.pairs_of, np.repeat(np.arange(first, first + len(units)), n_links)])
+        else:
+            self.groups += self.listed(a, b, np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends), n_a + n_b)
+            best, counts = self.score(pairs, table)
+            starts, stops = runs_of(n_links)
+            for column, values in ((4, best), (5, counts)):
+                sums = np.concatenate([[0], np.cumsum(values)])
+                figures[:, column] = sums[stops] - sums[starts]
+        self.figures = np.concatenate([self.figures, figures])
+        self.valid = np.concatenate([self.valid, valid])
+
+    def faithful(self, wholes: list[bytes], a_ids: list[list[int]], b_ids: list[list[int]]) -> np.ndarray:
+        """Whether both vocabularies give each unit back byte by byte."""
+        a_bytes, b_bytes = self.a_bytes, self.b_bytes
+        return np.fromiter(
+            (
+                b"".join([a_bytes[i] for i in a]) == whole == b"".join([b_bytes[i] for i in b])
+                for whole, a, b in zip(wholes, a_ids, b_ids, strict=True)
+            ),
+            bool, len(wholes),
+        )
+
+    def listed(
+        self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, counts: np.ndarray
+    ) -> list[str]:
+        """The groups of each unit as text, each ending in a semicolon."""
+        groups = int(a_group[-1]) + 1 if len(a_group) else 0
+        a_in, b_in = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
+        a_at = np.arange(len(a)) + runs_of(b_in)[0][a_group]
+        b_at = np.arange(len(b)) + runs_of(a_in)[1][b_group]
+        out = np.empty((len(a) + len(b), 2), object)
+        out[a_at, 0], out[b_at, 0] = self.names[a], self.names[b]
+        out[:, 1] = ","
+        out[a_at[runs_of(a_in)[1] - 1], 1] = "|"
+        out[b_at[runs_of(b_in)[1] - 1], 1] = ";"
+        parts = out.ravel().tolist()
+        starts, stops = runs_of(counts)
+        return ["".join(parts[2 * i : 2 * j]) for i, j in zip(starts.tolist(), stops.tolist(), strict=True)]
+
+    def score(self, pairs: np.ndarray, table: HashTable) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each pair's count is the highest of its B id, and the count."""
+        distinct, back = np.unique(pairs, return_inverse=True)
         counts = table.look_up(distinct)[1][:, 0][back]
-        best = counts == self.best[keys & ((1 << PLACE) - 1)]
-        ends = np.cumsum([0, *map(len, pairs)])
-        for column, values in ((4, best.astype(np.int64)), (5, counts)):
-            total = np.concatenate([[0], np.cumsum(values)])
-            self.figures[first : first + len(pairs), column] = total[ends[1:]] - total[ends[:-1]]
-        self.pairs[first:] = [None] * len(pairs)
+        return (counts == self.best[pairs & ((1 << PLACE) - 1)]).astype(np.int64), counts
 
 
 @lru_cache(maxsize=2)
@@ -179,25 +201,26 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """(key, n): linked pairs of ids, a * 2^32 + b, and how many links have them, per task."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        units, seen = aligner(a_path, b_path, "count"), Counter()
+        units = aligner(a_path, b_path, "count")
+        times = np.zeros(len(units.figures), np.int64)
         for batch in batches:
-            split = [units_of(t) for t in batch["text"] if t]
-            times: Counter = Counter()
-            for places in units.places(split, None):
-                if all(map(units.valid.__getitem__, places)):
-                    times.update(places)
-            if times:
-                keys = np.concatenate([units.pairs[p] for p in times])
-                n = np.repeat(list(times.values()), [len(units.pairs[p]) for p in times])
-                distinct, back = np.unique(keys, return_inverse=True)
-                totals = np.zeros(len(distinct), np.int64)
-                np.add.at(totals, back, n)
-                for key, total in zip(distinct.tolist(), totals.tolist(), strict=True):
-                    seen[key] += total
-            if len(seen) > MOST_PAIRS:
-                yield pd.DataFrame({"key": list(seen.keys()), "n": list(seen.values())})
-                seen.clear()
-        yield pd.DataFrame({"key": list(seen.keys()), "n": list(seen.values())}, dtype="int64")
+            if units.full:
+                yield linked(units, times)
+                units.forget()
+                times = times[:0]
+            texts = units.places([units_of(t) for t in batch["text"] if t], None)
+            met = [places for places in texts if units.valid[places].all()]
+            times = np.concatenate([times, np.zeros(len(units.figures) - len(times), np.int64)])
+            if met:
+                times += np.bincount(np.concatenate(met), minlength=len(times))
+        yield linked(units, times)
+
+    def linked(units: Aligner, times: np.ndarray) -> pd.DataFrame:
+        n = times[units.pairs_of]
+        keys, back = np.unique(units.pairs[n > 0], return_inverse=True)
+        totals = np.zeros(len(keys), np.int64)
+        np.add.at(totals, back, n[n > 0])
+        return pd.DataFrame({"key": keys, "n": totals})
 
     with python_batches(docs.sparkSession):
         return stored(docs.select("text").mapInPandas(count, "key bigint, n bigint"), "pairs")
@@ -257,12 +280,14 @@ def align_documents(
         units = aligner(a_path, b_path, use)
         units.best = best
         for batch in batches:
+            if units.full:
+                units.forget()
             split = [units_of(t) if t else [] for t in batch["text"]]
             figures, groups = np.zeros((len(split), len(FIGURES)), np.int64), []
             for k, places in enumerate(units.places(split, table)):
-                if places and all(map(units.valid.__getitem__, places)):
+                if places and units.valid[places].all():
                     figures[k] = units.figures[places].sum(axis=0)
-                    listed = ";".join(map(units.groups.__getitem__, places))
+                    listed = "".join(map(units.groups.__getitem__, places))[:-1]
                     groups.append(hashlib.sha256(listed.encode()).hexdigest() if digest else listed)
                 else:
                     groups.append("")
