@@ -32,6 +32,7 @@ TABLES = (
     "raw_events",
     "stg_events",
     "stg_selected_events",
+    "activity_state",
     "mart_repo_daily_activity",
     "mart_repo_daily_event_type_activity",
     "mart_repo_actor_activity",

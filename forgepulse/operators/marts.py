@@ -64,3 +64,40 @@ def repo_summary_by_type(events: DataFrame) -> DataFrame:
         F.min("created_at").alias("first_activity"),
         F.max("created_at").alias("last_activity"),
     )
+
+
+STATE_KEYS = ("repo_name", "actor_login", "event_type")
+
+
+def activity_state(events: DataFrame) -> DataFrame:
+    """What each day adds to the marts over all days: a row per repository, actor and type.
+
+    Rows of different days merge: counts add up, and the least and greatest time stay. A day
+    that is loaded again replaces its own rows and no others.
+    """
+    return events.groupBy(*STATE_KEYS, event_day(events).alias("event_date")).agg(
+        F.count("*").alias("total_events"),
+        F.min("created_at").alias("first_activity"),
+        F.max("created_at").alias("last_activity"),
+    )
+
+
+def _merged_times(state: DataFrame, *keys: str, **counts: str) -> DataFrame:
+    return state.groupBy(*keys).agg(
+        F.sum("total_events").alias("total_events"),
+        *(F.count_distinct(column).alias(name) for name, column in counts.items()),
+        F.min("first_activity").alias("first_activity"),
+        F.max("last_activity").alias("last_activity"),
+    )
+
+
+def actor_activity_of(state: DataFrame) -> DataFrame:
+    """`actor_activity` of all days, from their state."""
+    return _merged_times(state, "repo_name", "actor_login", event_types_count="event_type")
+
+
+def repo_summary_of(state: DataFrame) -> DataFrame:
+    """`repo_summary_by_type` of all days, from their state."""
+    return _merged_times(
+        state, "repo_name", total_actors="actor_login", total_event_types="event_type"
+    )

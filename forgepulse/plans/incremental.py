@@ -27,8 +27,8 @@ DAILY_MARTS = {
 }
 
 REBUILT_MARTS = {
-    "mart_repo_actor_activity": marts.actor_activity,
-    "mart_repo_summary": marts.repo_summary_by_type,
+    "mart_repo_actor_activity": marts.actor_activity_of,
+    "mart_repo_summary": marts.repo_summary_of,
 }
 
 
@@ -36,6 +36,7 @@ def create_tables(spark: SparkSession, tables: Tables) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.database}")
     for name in ("stg_events", "stg_selected_events"):
         loads.create_if_absent(spark, tables[name], schemas.STAGING)
+    loads.create_if_absent(spark, tables["activity_state"], schemas.ACTIVITY_STATE)
     for name, (_, columns, _, _) in DAILY_MARTS.items():
         loads.create_if_absent(spark, tables[name], columns)
 
@@ -113,6 +114,21 @@ def run_days(
             raise empty
 
 
+def load_state(spark: SparkSession, tables: Tables, days: Sequence[date]) -> None:
+    """Bring the state of some days up to date, and of any earlier ones it has not got.
+
+    The marts over all days come from the state, so a load reads the selected events of
+    its own days only, and of the history a row per day, repository, actor and type.
+    """
+    known = set(loads.partition_days(spark, tables["activity_state"]))
+    stored = loads.partition_days(spark, tables["stg_selected_events"])
+    due = sorted({*days, *(d for d in stored if d is not None and d not in known)})
+    selected = spark.table(tables["stg_selected_events"]).where(F.col(loads.DAY).isin(due))
+    loads.replace_days(
+        marts.activity_state(selected), tables["activity_state"], due, ["repo_name"], allow_empty=True
+    )
+
+
 def load_from_raw(
     spark: SparkSession,
     tables: Tables,
@@ -145,7 +161,9 @@ def load_from_raw(
             loads.replace_days(new, tables[name], days, cluster_by, allow_empty=True)
         _check_days(spark, tables, name, filled)
 
+    load_state(spark, tables, days)
+    state = spark.table(tables["activity_state"])
     for name, build in REBUILT_MARTS.items():
-        loads.full_rebuild(build(selected), tables[name])
+        loads.full_rebuild(build(state), tables[name])
         rebuilt = spark.table(tables[name])
         checks.require(checks.run_checks(rebuilt, checks.REBUILD_CHECKS[name]), name)

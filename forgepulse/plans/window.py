@@ -107,6 +107,16 @@ def refresh_raw(
         loads.replace_days(raw, table, days, None, allow_empty=True, partition_by=FILE_DAY)
 
 
+def load_landed(
+    spark: SparkSession, landing_dir: str, table: str, window: DayRange,
+    min_bytes: int = MIN_FILE_BYTES, scan: str = "variant",
+) -> None:
+    """Audit the window's files and bring the raw table to them."""
+    landed = landed_in(spark, landing_dir, window)
+    with sized_shuffles(spark, audit_landing(landed, window, min_bytes)):
+        refresh_raw(spark, landing_dir, landed, table, window, scan)
+
+
 def run_window(
     spark: SparkSession,
     landing_dir: str,

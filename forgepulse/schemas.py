@@ -17,6 +17,12 @@ STAGING = (
     "repo_id BIGINT, repo_name STRING, created_at TIMESTAMP, org_id BIGINT, org_login STRING"
 )
 
+# What a day adds to the marts that span all days: counts that add up, times that compare.
+ACTIVITY_STATE = (
+    "repo_name STRING, actor_login STRING, event_type STRING, "
+    "total_events BIGINT, first_activity TIMESTAMP, last_activity TIMESTAMP, event_date DATE"
+)
+
 DAILY_ACTIVITY = (
     "repo_name STRING, event_date DATE, total_events BIGINT, unique_actors BIGINT"
 )

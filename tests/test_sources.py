@@ -193,10 +193,23 @@ def test_files_outside_the_window(spark, tmp_path):
 def test_damaged_files_are_found(spark, tmp_path):
     fill_day(tmp_path, [0])
     (tmp_path / "2026-03-01-1.json.gz").write_bytes(b"this is no gzip file")
-    lines = landing.readable_lines(spark, str(tmp_path))
-    assert values(lines, "filename", "lines") == [
-        ("2026-03-01-0.json.gz", 1), ("2026-03-01-1.json.gz", 0),
+    whole = gzip.compress(b"one\ntwo\n" * 50_000 + b"no line end")
+    (tmp_path / "2026-03-01-2.json.gz").write_bytes(whole[:-4])
+    (tmp_path / "2026-03-01-3.json.gz").write_bytes(b"")
+    (tmp_path / "2026-03-01-4.json.gz").write_bytes(whole + gzip.compress(b"more\n"))
+    (tmp_path / "2026-03-01-5.json.gz").write_bytes(whole[:-8] + bytes(8))
+    (tmp_path / "2026-03-01-6.json.gz").write_bytes(whole + b"stray")
+    (tmp_path / "2026-03-01-7.json.gz").write_bytes(gzip.compress(b""))
+    verdicts = landing.file_verdicts(spark, str(tmp_path))
+    assert values(verdicts, "filename", "lines", "sound") == [
+        ("2026-03-01-0.json.gz", 1, True), ("2026-03-01-1.json.gz", None, False),
+        ("2026-03-01-2.json.gz", None, False), ("2026-03-01-3.json.gz", None, False),
+        ("2026-03-01-4.json.gz", 100_001, True), ("2026-03-01-5.json.gz", None, False),
+        ("2026-03-01-6.json.gz", None, False), ("2026-03-01-7.json.gz", 0, True),
     ]
+    assert verdicts.where("NOT sound AND problem IS NULL").isEmpty()
+    empty = landing.undersized_files(landing.landed_files(spark, str(tmp_path)), 1)
+    assert values(empty, "filename", "length") == [("2026-03-01-3.json.gz", 0)]
     with pytest.raises(Exception, match="2026-03-01-1.json.gz"):
         landing.require_readable(spark, str(tmp_path))
 

@@ -6,23 +6,22 @@ delivered a second time, in file 'b', so that there are duplicates to remove.
 
 from __future__ import annotations
 
+import gzip
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.config import days_in
-from forgepulse.functions.columns import hourly_file_name
+from forgepulse.sinks.hourly import file_system
 
 EVENTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, props STRING"
 
 REPOS = tuple(f"repo-{k}" for k in range(0, 99, 7))
 ALL_REPOS = tuple(f"repo-{k}" for k in range(100))
 REPO = "repo-42"
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
-MONTH = days_in(FIRST_DAY, LAST_DAY)
 # The dashboard's seven days.
-START, END = date(2024, 1, 24), LAST_DAY
+START, END = date(2024, 1, 24), date(2024, 1, 30)
 
 
 def raw_events(spark: SparkSession, sf_dir: str, late_copies: bool = False) -> DataFrame:
@@ -52,16 +51,41 @@ def raw_events(spark: SparkSession, sf_dir: str, late_copies: bool = False) -> D
     )
 
 
-def hourly_files(raw: DataFrame) -> DataFrame:
-    """One landed file per hour that has an event of a listed repository."""
-    hour = F.hour("created_at")
-    return (
-        raw.where(F.col("repo.name").isin(*REPOS))
-        .groupBy(hourly_file_name(F.to_date("created_at"), hour).alias("filename"))
-        .agg(F.sum(F.octet_length("payload")).cast("bigint").alias("length"))
+def days_of(raw: DataFrame) -> list[date]:
+    """Every day from the first to the last that events are dated."""
+    day = F.to_date("created_at")
+    first, last = raw.agg(F.min(day), F.max(day)).first()
+    return [] if first is None else days_in(first, last)
+
+
+# Runs reject events of nobody, so those without a login get one.
+NOBODY = "(no login)"
+
+
+def attributed(raw: DataFrame) -> DataFrame:
+    return raw.withColumn(
+        "actor", F.col("actor").withField("login", F.coalesce("actor.login", F.lit(NOBODY)))
     )
 
 
+# Hours of the landed feed that never arrived, and that arrived empty or cut off.
+LOST_HOURS = "hour(created_at) = 11 AND dayofmonth(created_at) % 3 = 0"
+EMPTY_HOUR, CUT_HOUR = 7, 13
+
+
+def damage(spark: SparkSession, landing_dir: str, names: list[str]) -> None:
+    """Make files of two hours of each day unreadable: names are a row per hour."""
+    cut_off = gzip.compress(b'{"id": "1"}\n' * 50)[:-6]
+    for name in names:
+        hour = int(name.rpartition("-")[2].split(".")[0])
+        if hour in (EMPTY_HOUR, CUT_HOUR):
+            system, to_path = file_system(spark, landing_dir)
+            with_content = system.create(to_path(f"{landing_dir}/{name}"), True)
+            if hour == CUT_HOUR:
+                with_content.write(bytearray(cut_off))
+            with_content.close()
+
+
 _REPO_LIST = ", ".join(f"'{name}'" for name in REPOS)
 
 # The same feed and its staging tables for DuckDB.
@@ -97,6 +121,11 @@ stg AS (
   SELECT *, cast(created_at AS date) AS event_date
   FROM (SELECT * EXCLUDE (rn, payload) FROM ranked WHERE rn = 1)
 ),
+late_named AS (
+  SELECT * REPLACE (coalesce(actor_login, '{NOBODY}') AS actor_login),
+         cast(created_at AS date) AS event_date
+  FROM late_raw
+),
 selected AS (SELECT * FROM stg WHERE repo_name IN ({_REPO_LIST})),
 recent AS (
   SELECT * FROM selected WHERE event_date BETWEEN DATE '{START}' AND DATE '{END}'
@@ -128,12 +157,13 @@ hours AS (
   SELECT cast(d AS date) AS file_date, h AS hour,
          strftime(d, '%Y-%m-%d') || '-' || h || '.json.gz' AS filename
   FROM generate_series(
-         TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}', INTERVAL 1 DAY) AS days(d)
+         (SELECT cast(min(event_date) AS timestamp) FROM stg),
+         (SELECT cast(max(event_date) AS timestamp) FROM stg), INTERVAL 1 DAY) AS days(d)
   CROSS JOIN range(24) AS hrs(h)
 ),
 files AS (
   SELECT strftime(created_at, '%Y-%m-%d') || '-' || hour(created_at) || '.json.gz' AS filename,
-         cast(sum(strlen(payload)) AS bigint) AS length
-  FROM raw WHERE repo_name IN ({_REPO_LIST}) GROUP BY 1
+         hour(created_at) AS hour, count(*) AS lines
+  FROM raw WHERE NOT (hour(created_at) = 11 AND day(created_at) % 3 = 0) GROUP BY ALL
 )
 """

@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgepulse import config
 from forgepulse.config import DayRange, Tables
-from forgepulse.functions.columns import each_day
+from forgepulse.functions.columns import base_name, each_day
 from forgepulse.operators import checks, marts, serving, staging
 from forgepulse.plans import incremental, window
+from forgepulse.plans.dashboard import Dashboard
 from forgepulse.session import prepare, scratch_database, scratch_path
 from forgepulse.sinks import loads
+from forgepulse.sinks.hourly import land_hours
 from forgepulse.sources import lake, landing, ndjson
 from workload.feed import (
-    ALL_REPOS, CTES, END, FIRST_DAY, LAST_DAY, MONTH, REPO, REPOS, START, hourly_files, raw_events,
+    ALL_REPOS, CTES, CUT_HOUR, EMPTY_HOUR, END, LOST_HOURS, NOBODY, REPO, REPOS, START, attributed,
+    damage, days_of, raw_events,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,11 +61,6 @@ ACTOR = ["actor_login"]
 ACTOR_TYPE = ["actor_login", "event_type"]
 
 
-def attributed(raw: DataFrame) -> DataFrame:
-    """Events with a known actor: a window run rejects tables with others."""
-    return raw.where(F.col("actor.login").isNotNull())
-
-
 # -- staging ---------------------------------------------------------------------------
 
 
@@ -310,7 +310,7 @@ def replace_day(spark, sf_dir):
     raw = raw_events(spark, sf_dir).withColumn(loads.DAY, F.to_date("created_at"))
     staged = lambda events: staging.staging_columns(staging.stage_events_by_day(events))
     others = staged(raw.where("type <> 'click'"))
-    loads.replace_days(others, table, MONTH, ["repo_name"], allow_empty=True)
+    loads.replace_days(others, table, days_of(raw), ["repo_name"], allow_empty=True)
     loads.replace_days(staged(staging.on_day(raw, END)), table, [END], ["repo_name"])
     return spark.table(table)
 
@@ -322,7 +322,8 @@ def _upserted(spark, sf_dir, name):
     build, _, keys, cluster_by = incremental.DAILY_MARTS[name]
     events = selected_events(spark, sf_dir, columns=ACTOR_TYPE)
     other, clicks = events.where("event_type <> 'click'"), events.where("event_type = 'click'")
-    loads.replace_days(build(other), tables[name], MONTH, cluster_by, allow_empty=True)
+    days = days_of(raw_events(spark, sf_dir))
+    loads.replace_days(build(other), tables[name], days, cluster_by, allow_empty=True)
     recent = DayRange(START, END).days
     loads.upsert_days(
         build(staging.in_days(clicks, START, END)), tables[name], keys, recent, cluster_by
@@ -354,7 +355,8 @@ def retention(spark, sf_dir):
     incremental.create_tables(spark, tables)
     name = "mart_repo_daily_activity"
     daily = marts.daily_activity(selected_events(spark, sf_dir, columns=ACTOR))
-    loads.replace_days(daily, tables[name], MONTH, ["repo_name"], allow_empty=True)
+    days = days_of(raw_events(spark, sf_dir))
+    loads.replace_days(daily, tables[name], days, ["repo_name"], allow_empty=True)
     loads.retain_days(spark, tables[name], START, END)
     return spark.table(tables[name])
 
@@ -362,7 +364,8 @@ def retention(spark, sf_dir):
 @query(f"SELECT {STAGING}, filename FROM raw WHERE {IN_RANGE.replace('event_date', 'cast(created_at AS date)')}")
 def export_day_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "lake")
-    loads.export_days(raw_events(spark, sf_dir), root, MONTH, F.to_date("created_at"))
+    raw = raw_events(spark, sf_dir)
+    loads.export_days(raw, root, days_of(raw), F.to_date("created_at"))
     return staging.flatten_event(lake.scan_lake_days(spark, root, START, END))
 
 
@@ -403,7 +406,8 @@ def export_source_day(spark, sf_dir):
     return staging.flatten_event(lake.scan_lake_days(spark, root, END, END))
 
 
-@query("SELECT * FROM by_actor WHERE actor_login IS NOT NULL")
+@query(f"""
+SELECT * REPLACE (coalesce(actor_login, '{NOBODY}') AS actor_login) FROM by_actor""")
 def window_run(spark, sf_dir):
     """All tables rebuilt and checked; returns the last mart but one."""
     tables = Tables(scratch_database(spark, "window"))
@@ -413,37 +417,134 @@ def window_run(spark, sf_dir):
 
 
 @query("""
-SELECT repo_name, cast(created_at AS date) AS event_date, event_type,
+SELECT repo_name, event_date, event_type,
        count(DISTINCT event_id) AS total_events, count(DISTINCT actor_login) AS unique_actors
-FROM late_raw
-WHERE actor_login IS NOT NULL
-  AND cast(created_at AS date) <= (SELECT max(event_date) FROM stg)
-GROUP BY ALL""")
+FROM late_named GROUP BY ALL""")
 def incremental_run(spark, sf_dir):
     """A lake of all days, copies on later days included, loaded twice."""
     root = scratch_path(spark, "lake")
     tables = Tables(scratch_database(spark, "incremental"))
     raw = attributed(raw_events(spark, sf_dir, late_copies=True)).drop("filename")
-    loads.export_days(raw, root, MONTH, F.to_date("created_at"))
-    incremental.run_days(spark, root, tables, MONTH, ALL_REPOS)
+    days = days_of(raw)
+    loads.export_days(raw, root, days, F.to_date("created_at"))
+    incremental.run_days(spark, root, tables, days, ALL_REPOS)
     incremental.run_days(spark, root, tables, [END], ALL_REPOS)
     return spark.table(tables["mart_repo_daily_event_type_activity"])
 
 
+def _reloaded_without_clicks(spark, sf_dir) -> Tables:
+    """All days loaded from the lake, then the last day again, delivered without clicks.
+
+    The second run starts from its execution date given as text, the day after.
+    """
+    root = scratch_path(spark, "lake")
+    tables = Tables(scratch_database(spark, "incremental"))
+    raw = attributed(raw_events(spark, sf_dir, late_copies=True)).drop("filename")
+    days, day = days_of(raw), F.to_date("created_at")
+    loads.export_days(raw, root, days, day)
+    incremental.run_days(spark, root, tables, days, REPOS)
+    again = config.target_day(f"{END + timedelta(days=1)}T02:00:00Z")
+    loads.export_days(raw.where((day == F.lit(again)) & (F.col("type") != "click")), root, [again])
+    incremental.run_days(spark, root, tables, [again], REPOS, marts_keep_stale=False)
+    return tables
+
+
+_RELOADED = f"""
+, loaded AS (
+  SELECT DISTINCT event_id, event_date, repo_name, actor_login, event_type, created_at
+  FROM late_named
+  WHERE repo_name IN (SELECT repo_name FROM selected)
+    AND (event_date <> DATE '{END}' OR event_type <> 'click')
+)"""
+
+
+@query(f"""{_RELOADED}
+SELECT repo_name, actor_login, count(*) AS total_events,
+       count(DISTINCT event_type) AS event_types_count,
+       min(created_at) AS first_activity, max(created_at) AS last_activity
+FROM loaded GROUP BY ALL""")
+def incremental_actor_activity(spark, sf_dir):
+    tables = _reloaded_without_clicks(spark, sf_dir)
+    return spark.table(tables["mart_repo_actor_activity"])
+
+
+@query(f"""{_RELOADED}
+SELECT repo_name, count(*) AS total_events, count(DISTINCT actor_login) AS total_actors,
+       count(DISTINCT event_type) AS total_event_types,
+       min(created_at) AS first_activity, max(created_at) AS last_activity
+FROM loaded GROUP BY ALL""")
+def incremental_summary(spark, sf_dir):
+    return spark.table(_reloaded_without_clicks(spark, sf_dir)["mart_repo_summary"])
+
+
+def _served(spark, sf_dir) -> Dashboard:
+    """The dashboard over the tables a window run has written."""
+    tables = Tables(scratch_database(spark, "served"))
+    window.build_from_raw(spark, attributed(raw_events(spark, sf_dir)), tables, REPOS)
+    return Dashboard(spark, tables)
+
+
+@query(f"""
+SELECT count(*) AS total_events, count(DISTINCT coalesce(actor_login, '{NOBODY}')) AS total_contributors,
+       coalesce(cast(count(*) AS double) / nullif(count(DISTINCT event_date), 0), 0.0)
+         AS avg_events_per_day
+FROM selected
+WHERE event_date > (SELECT max(event_date) - 7 FROM stg)
+""")
+def served_kpis(spark, sf_dir):
+    """The last seven loaded days, read from their partitions."""
+    board = _served(spark, sf_dir)
+    return board.kpis(board.window())
+
+
+@query("""
+SELECT event_type, cast(sum(total_events) AS bigint) AS total_events FROM by_type
+WHERE event_date > (SELECT max(event_date) - 7 FROM stg)
+GROUP BY event_type ORDER BY total_events DESC, event_type NULLS LAST""")
+def served_event_types(spark, sf_dir):
+    board = _served(spark, sf_dir)
+    return board.event_type_distribution(board.window())
+
+
+@query(f"""
+SELECT coalesce(actor_login, '{NOBODY}') AS actor_login, total_events, first_activity, last_activity
+FROM by_actor WHERE repo_name = '{REPO}'
+ORDER BY total_events DESC, actor_login NULLS LAST LIMIT 5""")
+def served_top_contributors(spark, sf_dir):
+    return _served(spark, sf_dir).top_contributors(REPO)
+
+
 # -- landing ---------------------------------------------------------------------------
 
 
+def _landing_dir(spark, sf_dir) -> str:
+    """The feed as hourly files of all repositories, but for those of the first repository's
+    hours that did not arrive; files of two hours of the day are damaged: the one is empty, the
+    other breaks off."""
+    path = scratch_path(spark, "landing")
+    raw = raw_events(spark, sf_dir).drop("filename")
+    names = land_hours(raw.where(f"NOT ({LOST_HOURS})"), path)
+    damage(spark, path, names)
+    return path
+
+
 def _landing(spark, sf_dir):
+    first, last = _days_of_feed(spark, sf_dir)
     return (
-        landing.expected_files(spark, FIRST_DAY, LAST_DAY),
-        hourly_files(raw_events(spark, sf_dir)),
+        landing.expected_files(spark, first, last),
+        landing.landed_files(spark, _landing_dir(spark, sf_dir)),
     )
 
 
-@query("""
+def _days_of_feed(spark, sf_dir):
+    days = days_of(raw_events(spark, sf_dir))
+    return days[0], days[-1]
+
+
+@query(f"""
 SELECT 'warn' AS severity, 'missing' AS issue, filename FROM hours ANTI JOIN files USING (filename)
 UNION ALL
-SELECT 'error', 'too small', filename FROM files WHERE length < 20""")
+SELECT 'error', 'too small', filename FROM files WHERE hour = {EMPTY_HOUR}""")
 def landing_manifest(spark, sf_dir):
     return landing.audit(*_landing(spark, sf_dir), min_bytes=20)
 
@@ -458,9 +559,96 @@ def landing_missing_report(spark, sf_dir):
     return landing.missing_report(*_landing(spark, sf_dir))
 
 
-@query("SELECT filename, length FROM files WHERE length < 20")
+@query(f"SELECT filename, cast(0 AS bigint) AS length FROM files WHERE hour = {EMPTY_HOUR}")
 def landing_size_check(spark, sf_dir):
-    return landing.undersized_files(_landing(spark, sf_dir)[1], min_bytes=20)
+    landed = landing.landed_files(spark, _landing_dir(spark, sf_dir))
+    return landing.undersized_files(landed, min_bytes=20).select("filename", "length")
+
+
+@query(f"""
+SELECT filename, CASE WHEN hour NOT IN ({EMPTY_HOUR}, {CUT_HOUR}) THEN lines END AS lines,
+       hour NOT IN ({EMPTY_HOUR}, {CUT_HOUR}) AS sound
+FROM files""")
+def landing_readable(spark, sf_dir):
+    """Every landed file, read to its trailer."""
+    return landing.file_verdicts(spark, _landing_dir(spark, sf_dir)).select("filename", "lines", "sound")
+
+
+def _second_delivery(spark, sf_dir) -> str:
+    """Hourly files, of which the last day's have been delivered again without clicks, loaded
+    after either delivery by a window that has moved on by a day."""
+    path, tables = scratch_path(spark, "landing"), Tables(scratch_database(spark, "redelivered"))
+    raw = raw_events(spark, sf_dir).drop("filename")
+    days = days_of(raw)
+    land_hours(raw, path)
+    load = lambda first, last: window.load_landed(
+        spark, path, tables["raw_events"], DayRange(first, last), min_bytes=1
+    )
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.database}")
+    load(days[0], days[-1])
+    last = F.to_date("created_at") == F.lit(days[-1])
+    land_hours(raw.where(last & (F.col("type") != "click")), path)
+    load(days[0] + timedelta(days=1), days[-1])
+    return tables["raw_events"]
+
+
+@query("""
+, twice AS (
+  SELECT *, cast(created_at AS date) AS d,
+         strftime(created_at, '%Y-%m-%d') || '-' || hour(created_at) || '.json.gz' AS file
+  FROM raw
+),
+again AS (
+  SELECT DISTINCT file FROM twice
+  WHERE d = (SELECT max(d) FROM twice) AND event_type <> 'click'
+)
+SELECT event_id AS id, event_type AS type, repo_name, created_at, file AS filename
+FROM twice
+WHERE d > (SELECT min(d) FROM twice) AND (event_type <> 'click' OR file NOT IN (SELECT file FROM again))""")
+def raw_refresh_redelivered(spark, sf_dir):
+    raw = spark.table(_second_delivery(spark, sf_dir))
+    return raw.select(
+        "id", "type", "repo.name", "created_at", base_name(F.col("filename")).alias("filename")
+    ).withColumnRenamed("name", "repo_name")
+
+
+@query(f"""
+SELECT event_id AS id, created_at, CASE WHEN cast(created_at AS date) >= DATE '{END}' THEN filename END AS origin
+FROM late_raw""")
+def lake_schema_growth(spark, sf_dir):
+    """Days loaded one delivery after the other, of which the later ones bring a new column."""
+    root, tables = scratch_path(spark, "lake"), Tables(scratch_database(spark, "growth"))
+    raw = raw_events(spark, sf_dir, late_copies=True)
+    day = F.to_date("created_at")
+    days = days_of(raw)
+    old, new = [d for d in days if d < END], [d for d in days if d >= END]
+    loads.export_days(raw.drop("filename"), root, old, day)
+    loads.export_days(raw.withColumnRenamed("filename", "origin"), root, new, day)
+    incremental.create_tables(spark, tables)
+    for part in (old, new, old):
+        incremental.load_raw_days(spark, root, tables, part)
+    return spark.table(tables["raw_events"]).select("id", "created_at", "origin")
+
+
+@query("""
+SELECT 'unique_grain(event_id,filename)' AS "check",
+       count(*) = count(DISTINCT event_id || filename) AS passed FROM raw
+UNION ALL SELECT 'unique_grain(repo_name)', count(*) = count(DISTINCT repo_name) FROM raw
+UNION ALL SELECT 'row_count_positive', count(*) > 0 FROM raw
+UNION ALL SELECT 'min_positive(org_id)', coalesce(min(org_id) > 0, false) FROM raw WHERE org_id IS NULL
+UNION ALL SELECT 'not_null(actor_login)', count(*) FILTER (actor_login IS NULL) = 0 FROM raw
+UNION ALL SELECT 'ordered_range(org_id,actor_id)', count(*) = count(CASE WHEN org_id <= actor_id THEN 1 END) FROM raw""")
+def quality_checks_failing(spark, sf_dir):
+    """Checks on events before deduplication, with and without the joined text."""
+    events = staging.flatten_event(raw_events(spark, sf_dir))
+    whole = checks.run_checks(events, [
+        checks.unique_grain("event_id", "filename", mode="concat"),
+        checks.unique_grain("repo_name", mode="concat"),
+        checks.row_count_positive(), checks.not_null("actor_login"),
+        checks.ordered_range("org_id", "actor_id"),
+    ])
+    without_org = events.where("org_id IS NULL")
+    return whole.unionByName(checks.run_checks(without_org, [checks.min_positive("org_id")]))
 
 
 @query("""
@@ -471,11 +659,12 @@ def landing_count_check(spark, sf_dir):
 
 
 @query(f"""
-SELECT filename, length FROM files
+SELECT filename FROM files
 ANTI JOIN (SELECT filename FROM hours WHERE file_date >= DATE '{START}') USING (filename)""")
 def landing_files_outside(spark, sf_dir):
     kept = landing.expected_files(spark, START, END)
-    return landing.files_outside(kept, hourly_files(raw_events(spark, sf_dir)))
+    landed = landing.landed_files(spark, _landing_dir(spark, sf_dir))
+    return landing.files_outside(kept, landed).select("filename")
 
 
 @query("""
