@@ -30,6 +30,8 @@ from forgepulse.llm.perfect_hash import HashTable, dense_counts, hash_table
 
 # Units a worker remembers, and characters of all of them.
 MOST_UNITS, MOST_CHARS = 200_000, 4_000_000
+# Texts handed to a worker at a time; Arrow's bound on bytes holds as well.
+DOCS_AT_ONCE = 1000
 PLACE = 32
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -222,7 +224,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         np.add.at(totals, back, n[n > 0])
         return pd.DataFrame({"key": keys, "n": totals})
 
-    with python_batches(docs.sparkSession):
+    with python_batches(docs.sparkSession, DOCS_AT_ONCE):
         return stored(docs.select("text").mapInPandas(count, "key bigint, n bigint"), "pairs")
 
 
@@ -296,5 +298,5 @@ def align_documents(
             yield out.assign(groups=groups)
 
     kinds = "doc_id bigint, " + "".join(f"{name} bigint, " for name in FIGURES) + "groups string"
-    with python_batches(spark):
+    with python_batches(spark, DOCS_AT_ONCE):
         return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(score, kinds)
