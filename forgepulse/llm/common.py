@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -51,6 +52,26 @@ def settled(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.select(*rest, F.explode_outer(F.array(row)).alias("__new")).select(*rest, "__new.*")
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let an operator's first table have columns with dots, or names the operator uses inside.
+
+    Columns with a dot or backtick, or that start with two underscores, have another name
+    while the operator works.
+    """
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        odd = {c for c in docs.columns if "." in c or "`" in c or c.startswith("__")}
+        if not odd:
+            return operator(docs, *args, **options)
+        plain = {c: f"kept_{uuid.uuid4().hex}" for c in odd}
+        given = {name: c for c, name in plain.items()}
+        out = operator(docs.toDF(*(plain.get(c, c) for c in docs.columns)), *args, **options)
+        return out.toDF(*(given.get(c, c) for c in out.columns))
+
+    return run
+
+
 def keyed(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Add a key that tells rows apart even where ids repeat or are null.
 

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from forgepulse.llm.common import python_batches
+from forgepulse.llm.common import python_batches, shielded
 
 # A sentence ends at a stop before white space, at a blank line, after a line with a
 # licence tag, or with the text. A stop inside a version such as 2.0 does not end it.
@@ -133,6 +133,7 @@ def matched(ids: list[tuple]) -> list[tuple[str, list[str], int, int]]:
     return [f for _, f in sorted(found, key=lambda f: f[0])]
 
 
+@shielded
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """All rows and columns of `docs`, with `found`: an array of (license, sentences,
     start, end), places in code points, in order; empty without any.

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import ROW, keyed, let, settled, stored, words
+from forgepulse.llm.common import ROW, keyed, let, settled, shielded, stored, words
 
 MIN_WORDS = 25
 
@@ -213,6 +213,7 @@ def without_runs(text: Column, runs: Column) -> Column:
     return let(let(F.split(text, "\n", -1), kept), joined)
 
 
+@shielded
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """All rows and columns of `docs`, with later copies of repeated line runs deleted.
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import NODE, python_batches, stored, with_nodes
+from forgepulse.llm.common import NODE, python_batches, shielded, stored, with_nodes
 from forgepulse.llm.components import component_labels
 
 SHINGLE = 5
@@ -281,6 +281,7 @@ def linked(docs: DataFrame, keys: int = KEYS, rows: int = ROWS) -> DataFrame:
         )
 
 
+@shielded
 def near_duplicates(docs: DataFrame, keys: int = KEYS, rows: int = ROWS) -> DataFrame:
     """All rows and columns of `docs`, with `n_shingles`, `component_id`, `kept` and `first`.
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import settled, small, stored, words
+from forgepulse.llm.common import settled, shielded, small, stored, words
 
 BUCKETS = 1 << 14
 # Smoothing, as shares of the trusted and of the raw n-grams.
@@ -165,6 +165,7 @@ def least_score(held: DataFrame) -> float:
     return MIN_SCORE
 
 
+@shielded
 def judged(
     docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, min_score: float | None = None,
     prior: int | None = None,

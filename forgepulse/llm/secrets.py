@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import let
+from forgepulse.llm.common import let, shielded
 
 # The kinds in their order, what they match, and what a match must have.
 ASSIGN = (
@@ -145,6 +145,7 @@ def ratio(text: Column, weights: Column) -> Column:
     return total / F.greatest(F.length(text) - 1, F.lit(1))
 
 
+@shielded
 def find_secrets(docs: DataFrame, samples: DataFrame, min_ratio: float = MIN_RATIO) -> DataFrame:
     """All rows and columns of `docs`, with `base_spans` and `all_spans`.
 
