@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Columns that operators also use or add.
 CLASHES = (
     "node", "label", "runs", "clean_text", "score", "kept", "first", "found", "w", "hash", "pos",
     "marks", "item_id", "n_words", "base_spans", "all_spans", "component_id", "weights", "part",
+    "hashes", "start", "length", "h1", "hit_words", "a.b", "__words", "__row", "__node", "__new", "back`tick",
 )
 
 
@@ -37,7 +40,7 @@ def table(spark, rows=None, clashes: bool = False):
     df = spark.createDataFrame(awkward() if rows is None else rows, SCHEMA)
     if clashes:
         for name in CLASHES:
-            df = df.selectExpr("*", f"'mine' AS {name}")
+            df = df.select("*", F.lit("mine").alias(name))
     return df
 
 

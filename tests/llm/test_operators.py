@@ -199,6 +199,15 @@ def test_contamination(spark):
     assert Counter((r.doc_id, r.text, r.n_words, tuple(r.hit_words), tuple(r.hit_items)) for r in got) == want
 
 
+@pytest.mark.parametrize("text", [prose(9, 60_000), "very long text " * 20_000])
+def test_contamination_of_a_very_long_item(spark, text):
+    """A document against an item of the same text, also one that repeats a passage."""
+    benchmark = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    rows = [(1, "x " + text + " y", "en", "s", 1)]
+    [row] = decontaminate.contamination(table(spark, rows), benchmark).collect()
+    assert row.hit_words == list(range(1, 60_001)) and row.hit_items == ["1"]
+
+
 def test_contamination_without_items(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert not any(r.hit_words for r in decontaminate.contamination(table(spark), none).collect())
