@@ -51,16 +51,25 @@ seq AS (
 summed AS (
   SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) - n AS before FROM seq
 ),
-windows AS (
+forward AS (
   SELECT a.doc_id, a.pos, a.line_no AS first_line, max(b.line_no) AS last_line,
          string_agg(b.line, chr(10) ORDER BY b.pos) AS content, sum(b.n) AS total
   FROM summed a JOIN summed b
     ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.before < a.before + {line_dedup.MIN_WORDS}
   GROUP BY ALL
 ),
+backward AS (
+  SELECT b.doc_id, b.pos, min(a.line_no) AS first_line, b.line_no AS last_line,
+         string_agg(a.line, chr(10) ORDER BY a.pos) AS content, sum(a.n) AS total
+  FROM summed a JOIN summed b
+    ON a.doc_id = b.doc_id AND a.pos <= b.pos
+    AND a.before + a.n > b.before + b.n - {line_dedup.MIN_WORDS}
+  GROUP BY ALL
+),
+windows AS (SELECT 1 AS way, * FROM forward UNION ALL SELECT 2 AS way, * FROM backward),
 copies AS (
   SELECT doc_id, first_line, last_line FROM (
-    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) AS nth
+    SELECT *, row_number() OVER (PARTITION BY way, content ORDER BY doc_id, pos) AS nth
     FROM windows WHERE total >= {line_dedup.MIN_WORDS})
   WHERE nth > 1
 ),
@@ -76,7 +85,7 @@ FROM split LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op1_line_dedup(spark, sf_dir):
     """Lines of each document, how many were later copies, and the text that is left."""
     lengths = F.transform("runs", lambda r: r["end"] - r["start"] + 1)
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), whole=True).select(
         "doc_id",
         F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("bigint").alias("n_lines"),
         F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, n: a + n).alias("n_removed"),

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 from forgepulse.llm.common import stored
 from tests.llm.fixtures import SCHEMA, prose, unique_rows
-from tests.llm.test_operators import check_places, components, item_words, near_copies, removed_lines
+from tests.llm.test_operators import check_places, components, item_words, near_copies, removed_whole_runs
 
 
 def test_stages(spark, tmp_path):
@@ -33,7 +33,7 @@ def test_stages(spark, tmp_path):
     ids = {i for i, _ in good}
     assert not ids & {5, 6, 7, 8, 301, 302} and {1, 300} <= ids
 
-    gone, want = removed_lines(good, corpus_pipeline.line_dedup.MIN_WORDS), Counter()
+    gone, want = removed_whole_runs(good, corpus_pipeline.line_dedup.MIN_WORDS), Counter()
     for k, (i, text) in enumerate(good):
         left = [x for n, x in enumerate(text.split("\n")) if n not in gone[k]]
         if left:

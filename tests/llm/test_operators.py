@@ -58,6 +58,30 @@ def removed_lines(rows, least):
     return gone
 
 
+def removed_whole_runs(rows, least):
+    """Positions in later copies of any common run of at least so many words.
+
+    Every two places of a line are followed to the end of what they have in common.
+    """
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, rows[k][1] is not None, rows[k][1] or ""))
+    seqs, places, gone = {}, defaultdict(list), defaultdict(set)
+    for k in order:
+        seqs[k] = [(n, line) for n, line in enumerate((rows[k][1] or "").split("\n")) if WORD.search(line)]
+    line = lambda k, i: seqs[k][i][1] if 0 <= i < len(seqs[k]) else None
+    for k in order:
+        for i in range(len(seqs[k])):
+            for a, at in places[line(k, i)]:
+                if line(k, i - 1) is not None and line(a, at - 1) == line(k, i - 1):
+                    continue
+                n = 0
+                while line(k, i + n) is not None and line(a, at + n) == line(k, i + n):
+                    n += 1
+                if sum(len(WORD.findall(line(k, i + x))) for x in range(n)) >= least:
+                    gone[k].update(range(seqs[k][i][0], seqs[k][i + n - 1][0] + 1))
+            places[line(k, i)].append((k, i))
+    return gone
+
+
 @pytest.mark.parametrize("least", [5, 25, 60])
 def test_line_dedup(spark, least):
     rows = awkward()
@@ -73,6 +97,16 @@ def test_line_dedup(spark, least):
     assert lines(w[2] for w in want) == lines(r[1] for r in rows)
 
 
+def test_line_dedup_of_whole_runs_of_awkward_rows(spark):
+    rows = awkward()
+    gone, want = removed_whole_runs(rows, 25), Counter()
+    for k, row in enumerate(rows):
+        kept = [line for n, line in enumerate((row[1] or "").split("\n")) if n not in gone[k]]
+        want[row[0], row[1], row[1] if not gone[k] else ("\n".join(kept) if kept else None)] += 1
+    got = line_dedup.dedup_lines(table(spark, clashes=True), whole=True)
+    assert Counter((r.doc_id, r.text, r.clean_text) for r in got.collect()) == want
+
+
 def test_line_dedup_of_whole_runs(spark):
     """Against all common runs of at least 25 words, tails shorter than that included."""
     rng = random.Random(4)
@@ -82,15 +116,8 @@ def test_line_dedup_of_whole_runs(spark):
         at = rng.randrange(8)
         texts.append("\n".join([f"own {k}", *lines[at : at + rng.randint(1, 6)], "", f"own too {k}", *lines[: rng.randrange(5)]]))
     texts.append("\n".join(lines[3:6] * 4))
-    seqs = [[(n, x) for n, x in enumerate(t.split("\n")) if x] for t in texts]
-    first, gone = {}, defaultdict(set)
-    for k, seq in enumerate(seqs):
-        for i in range(len(seq)):
-            for j in range(i, len(seq)):
-                run = tuple(x for _, x in seq[i : j + 1])
-                if sum(len(x.split()) for x in run) >= 25 and first.setdefault(run, (k, i)) != (k, i):
-                    gone[k].update(range(seq[i][0], seq[j][0] + 1))
     rows = [(k, t, "en", "s", 1) for k, t in enumerate(texts)]
+    gone = removed_whole_runs(rows, 25)
     got = {r.doc_id: {n for x in r.runs for n in range(x.start, x.end + 1)} for r in line_dedup.dedup_lines(table(spark, rows), whole=True).collect()}
     assert got == {k: gone[k] for k in range(len(texts))} and {1, 2} <= got[1]
 
