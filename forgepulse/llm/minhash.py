@@ -11,10 +11,14 @@ Only sub-keys that two different texts share can make a table key that matters,
 pairs are formed after the others have gone. Texts with equal sets are one node from the
 start. The tables on the diagonal link most copies, each to the node of its table whose
 sub-keys are shared most, which is the text that the others were copied from if there is
-one. Then only sub-keys that still meet different components are paired, and every pair
-of nodes from different components that meets in a table is compared: first by size and
-by sub-keys, of which similar sets share 5 of 40 in all but one of 100,000 cases, and
-what is left on the full sets.
+one. Then only sub-keys that still meet different components are paired.
+
+Most texts that meet there have a passage in common and are not similar. Two similar sets
+share one of their rarest shingles: with all shingles in order of frequency, the first
+n - 0.75 n + 1 of a set of n. So a node whose rarest shingles are found in no other
+component is done, and pairs are formed over rarest shingles only. What is left is
+compared by size and by sub-keys, of which similar sets share 5 of 40 in all but one of
+100,000 cases, and then on the full sets.
 """
 
 from __future__ import annotations
@@ -24,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import NODE, python_batches, shielded, stored, with_nodes
+from forgepulse.llm.common import NODE, python_batches, shielded, small, stored, with_nodes
 from forgepulse.llm.components import component_labels
 
 SHINGLE = 5
@@ -35,9 +39,12 @@ SIMILARITY = (75, 100)
 KEYS, ROWS = 20, 3
 SHARED = 5
 
-# Comparisons a last round may leave per node: below this, every open pair is listed.
+# Comparisons a last round may leave per rarest shingle of a node: below this, every open
+# pair is listed.
 OPEN_PAIRS = 8
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
+# Shingles a worker remembers while it confirms pairs: some 30 MB.
+REMEMBERED = 4_000_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = "node bigint, n_shingles bigint, h1 bigint, h2 bigint, a array<bigint>, b array<bigint>"
@@ -128,15 +135,24 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     share, whole = SIMILARITY
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, last, last_set = Words(), None, None
+        hashes, known, held = Words(), {}, 0
+
+        def of(node: int, text: str) -> np.ndarray:
+            nonlocal held
+            if node not in known:
+                if held > REMEMBERED:
+                    known.clear()
+                    held = 0
+                known[node] = shingles(text, hashes)
+                held += len(known[node])
+            return known[node]
+
         for batch in batches:
             keep = []
             for u, v, u_text, v_text in batch[["u", "v", "u_text", "v_text"]].itertuples(index=False):
-                if v != last:
-                    last, last_set = v, shingles(v_text, hashes)
-                mine = shingles(u_text, hashes)
-                both = len(np.intersect1d(mine, last_set, assume_unique=True))
-                if whole * both >= share * (len(mine) + len(last_set) - both):
+                mine, other = of(u, u_text), of(v, v_text)
+                both = len(np.intersect1d(mine, other, assume_unique=True))
+                if whole * both >= share * (len(mine) + len(other) - both):
                     keep.append((u, v))
             yield pd.DataFrame(keep, columns=["u", "v"])
 
@@ -147,8 +163,50 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(joined.mapInPandas(check, "u bigint, v bigint"), "confirmed")
 
 
+def rarest(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, size, place, shingle): what is found in other nodes too of each set's rarest
+    shingles, with its place in the order, from 1.
+
+    Those are the first n - k + 1 of its n shingles in order of (number of nodes, hash),
+    where k is the least overlap with which a set of n can be linked. Two linked sets
+    have one of them in common, whatever the order. Shingles of one node only come first
+    and are not listed; they count as places.
+    """
+    share, whole = SIMILARITY
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = Words()
+        for batch in batches:
+            found = [shingles(text, hashes).view(np.int64) for text in batch["text"]]
+            yield pd.DataFrame({"node": batch["node"], "shingles": found})
+
+    read = texts.join(nodes.select("node").hint("merge"), "node", "left_semi")
+    listed = stored(read.mapInPandas(sets, "node bigint, shingles array<bigint>"), "sets")
+    entries = listed.select("node", F.size("shingles").cast("bigint").alias("size"), F.explode("shingles").alias("shingle"))
+    counts = entries.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    by_node = (
+        entries.join(small(stored(counts, "counts")), "shingle")
+        .groupBy("node", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("common"))
+    )
+    least = F.ceil(F.col("size") * share / whole)
+    alone = F.col("size") - F.size("common")
+    first = F.slice("common", 1, F.greatest(F.col("size") - least + 1 - alone, F.lit(0)).cast("int"))
+    listed = by_node.select("node", "size", alone.alias("alone"), F.posexplode(first["shingle"]).alias("at", "shingle"))
+    return stored(listed.select("node", "size", (F.col("alone") + F.col("at") + 1).alias("place"), "shingle"), "rarest")
+
+
+def reachable(size: Column, place: Column, other_size: Column) -> Column:
+    """Whether two sets can be linked whose first common shingle has this place in one."""
+    share, whole = SIMILARITY
+    return (whole + share) * (size - place + 1) >= share * (size + other_size)
+
+
 def shared_keys(reps: DataFrame) -> DataFrame:
-    """Sub-keys that two nodes have, and by how many: (node, side, i, sub, n)."""
+    """Sub-keys that two nodes have, and by how many: (node, side, i, sub, n).
+
+    Nodes with too few of them to be similar to any other are left out.
+    """
     entries = reps.select(
         "node",
         F.posexplode_outer(F.concat(F.col("a"), F.col("b"))).alias("i", "sub"),
@@ -156,23 +214,22 @@ def shared_keys(reps: DataFrame) -> DataFrame:
     )
     common = entries.groupBy("sub").agg(F.count("*").alias("n")).where("n > 1")
     side = (F.col("i") >= F.col("keys")).cast("int")
-    return stored(
-        entries.join(common.hint("merge"), "sub").select(
-            "node", side.alias("side"), (F.col("i") % F.col("keys")).alias("i"), "sub", "n"
-        ),
-        "keys",
-    )
+    key = F.struct(side.alias("side"), (F.col("i") % F.col("keys")).alias("i"), "sub", "n")
+    by_node = entries.join(common.hint("merge"), "sub").groupBy("node").agg(F.collect_list(key).alias("keys"))
+    enough = by_node.where(F.size("keys") >= SHARED)
+    return stored(enough.select("node", F.explode("keys").alias("key")).select("node", "key.*"), "keys")
 
 
 def comparable(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sizes and sub-keys leave it open that they are similar."""
+    """The pairs (u, v) that share a table and whose sizes and sub-keys leave it open that
+    they are similar."""
     share, whole = SIMILARITY
-    keys = F.concat(F.col("a"), F.col("b"))
     named = lambda x: reps.select(
-        F.col("node").alias(x), F.col("n_shingles").alias(f"{x}_n"), keys.alias(f"{x}_keys")
+        F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("n_shingles", "a", "b"))
     )
-    near = whole * F.least("u_n", "v_n") >= share * F.greatest("u_n", "v_n")
-    alike = F.size(F.array_intersect("u_keys", "v_keys")) >= SHARED
+    near = whole * F.least("u_n_shingles", "v_n_shingles") >= share * F.greatest("u_n_shingles", "v_n_shingles")
+    shared = lambda side: F.size(F.array_intersect(f"u_{side}", f"v_{side}"))
+    alike = (shared("a") > 0) & (shared("b") > 0) & (shared("a") + shared("b") >= SHARED)
     joined = pairs.join(named("u").hint("merge"), "u").join(named("v").hint("merge"), "v")
     return joined.where(near & alike).select("u", "v")
 
@@ -192,11 +249,43 @@ def diagonal_pairs(keys: DataFrame, popular: DataFrame) -> DataFrame:
     return ordered(entries.join(most, "key").where("node <> other"))
 
 
-def open_tables(keys: DataFrame, labels: DataFrame, popular: DataFrame) -> DataFrame:
-    """Table keys where nodes of different components meet: (key, node, label, popularity)."""
-    labelled = keys.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    meeting = labelled.groupBy("sub").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    left = labelled.join(meeting.select("sub"), "sub", "left_semi")
+def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def meeting(rows: DataFrame, by: str) -> DataFrame:
+    """The values of a column that rows of different components have."""
+    ends = rows.groupBy(by).agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return ends.where("lo < hi").select(by)
+
+
+def open_nodes(keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes with sub-keys, in both collections, that other components have too."""
+    labelled = with_labels(keys, labels)
+    left = labelled.join(meeting(labelled, "sub"), "sub", "left_semi")
+    both = left.groupBy("node").agg(F.min("side").alias("lo"), F.max("side").alias("hi"))
+    return stored(both.where("lo < hi").select("node"), "open")
+
+
+def still_rare(rare: DataFrame, labels: DataFrame) -> DataFrame:
+    """`rare` and the label, of shingles by which two components may be linked.
+
+    Of two linked sets the smaller one has the shingle where a set of its own size is in reach.
+    """
+    labelled = with_labels(rare, labels)
+    ends = labelled.groupBy("shingle").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"),
+        F.max(reachable(F.col("size"), F.col("place"), F.col("size"))).alias("early"),
+    )
+    some = ends.where("lo < hi AND early").select("shingle")
+    return stored(labelled.join(some.hint("merge"), "shingle", "left_semi"), "rare")
+
+
+def open_tables(keys: DataFrame, live: DataFrame, popular: DataFrame) -> DataFrame:
+    """Table keys where `live` nodes (node, label) of different components meet:
+    (key, node, label, popularity)."""
+    labelled = keys.join(live.hint("merge"), "node")
+    left = labelled.join(meeting(labelled, "sub"), "sub", "left_semi")
     by_node = left.groupBy("node", "label").agg(
         F.collect_list(F.when(F.col("side") == 0, F.col("sub"))).alias("a"),
         F.collect_list(F.when(F.col("side") == 1, F.col("sub"))).alias("b"),
@@ -208,8 +297,7 @@ def open_tables(keys: DataFrame, labels: DataFrame, popular: DataFrame) -> DataF
         .select("node", "label", "popularity", "x", F.explode("b").alias("y"))
         .select(F.xxhash64("x", "y").alias("key"), "node", "label", "popularity")
     )
-    meeting = entries.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    return stored(entries.join(meeting.select("key").hint("merge"), "key", "left_semi"), "tables")
+    return stored(entries.join(meeting(entries, "key").hint("merge"), "key", "left_semi"), "tables")
 
 
 def pivot_pairs(tables: DataFrame, turn: int) -> DataFrame:
@@ -223,10 +311,15 @@ def pivot_pairs(tables: DataFrame, turn: int) -> DataFrame:
     return with_first.join(second, "key").select("node", other.alias("other"))
 
 
-def all_open_pairs(tables: DataFrame) -> DataFrame:
-    """Every two nodes of different components that share a table."""
-    other = tables.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-    return tables.join(other, "key").where("label < other_label").select("node", "other")
+def all_open_pairs(rare: DataFrame) -> DataFrame:
+    """Every two nodes of different components that may be linked by a rarest shingle."""
+    share, whole = SIMILARITY
+    x = rare.select("shingle", "node", "label", "size", "place")
+    y = x.toDF("shingle", "other", "other_label", "other_size", "other_place")
+    near = whole * F.least("size", "other_size") >= share * F.greatest("size", "other_size")
+    size, place, other_size, other_place = map(F.col, ("size", "place", "other_size", "other_place"))
+    reach = reachable(size, place, other_size) & reachable(other_size, other_place, size)
+    return x.join(y, "shingle").where((F.col("label") < F.col("other_label")) & near & reach).select("node", "other")
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -239,7 +332,7 @@ def linked(docs: DataFrame, keys: int = KEYS, rows: int = ROWS) -> DataFrame:
 
     The label is the least node reachable over links. No bucket is cut: comparisons go
     round by round with one pivot per table, and when few open pairs are left, or after
-    `PIVOT_ROUNDS`, all of them are compared.
+    `PIVOT_ROUNDS`, all of them that share a rarest shingle are compared.
     """
     with python_batches(docs.sparkSession):
         sketched = stored(sketches(docs, keys, rows), "sketches")
@@ -255,22 +348,26 @@ def linked(docs: DataFrame, keys: int = KEYS, rows: int = ROWS) -> DataFrame:
 
         tested = stored(diagonal_pairs(key_rows, popular), "pairs")
         links = confirmed(comparable(tested, reps), texts)
+        labels = stored(component_labels(links), "labels")
+        rare = rarest(open_nodes(key_rows, labels), texts)
         turn = 0
         while True:
-            labels = stored(component_labels(links), "labels")
-            tables = open_tables(key_rows, labels, popular)
-            sizes = tables.groupBy("key", "label").agg(F.count("*").alias("n"))
-            spread = sizes.groupBy("key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("n"))
-            open_pairs = (spread.agg(F.sum("n")).first()[0] or 0) // 2
-            if not open_pairs:
+            rare = still_rare(rare, labels)
+            if rare.isEmpty():
                 break
-            last = turn >= PIVOT_ROUNDS or open_pairs <= OPEN_PAIRS * tables.select("node").distinct().count() * keys
-            pairs = all_open_pairs(tables) if last else pivot_pairs(tables, turn)
+            few = OPEN_PAIRS * rare.count()
+            last = turn >= PIVOT_ROUNDS or all_open_pairs(rare).limit(few + 1).count() <= few
+            live = rare.select("node", "label").distinct()
+            if last:
+                pairs = all_open_pairs(rare)
+            else:
+                pairs = pivot_pairs(open_tables(key_rows, live, popular), turn)
             fresh = stored(ordered(pairs).join(tested, ["u", "v"], "left_anti"), "pairs")
             links = links.union(confirmed(comparable(fresh, reps), texts))
+            labels = stored(component_labels(links), "labels")
             if last:
-                labels = stored(component_labels(links), "labels")
                 break
+            rare = rare.drop("label")
             tested = tested.union(fresh)
             turn += 1
         rep_labels = labels.select(F.col("node").alias("rep"), "label")

@@ -165,7 +165,19 @@ def near_copies():
     return [(100 + k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("rows", [awkward(), unique_rows(), near_copies()], ids=["awkward", "unique", "near"])
+def templates():
+    """A passage that all texts share, before words of their own: most pairs lie just
+    below the threshold, and some just above."""
+    rng = np.random.default_rng(8)
+    passage = prose(70, 90)
+    own = [13, 14] + [int(n) for n in rng.integers(15, 24, 120)]
+    texts = [f"{passage} " + " ".join(f"w{k}x{i}" for i in range(n)) for k, n in enumerate(own)]
+    return [(500 + k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize(
+    "rows", [awkward(), unique_rows(), near_copies(), templates()], ids=["awkward", "unique", "near", "templates"]
+)
 def test_near_duplicates(spark, rows):
     sets, roots = components(rows)
     got = minhash.near_duplicates(table(spark, rows, clashes=True)).collect()
