@@ -3,7 +3,8 @@
 A text with a space before it is cut into units, each a space and what follows up to the next
 space that has no white space before it. Neither vocabulary joins across such a place, so a
 text's tokens are those of its units, in order, and both tokenizers end a token at each cut.
-Units repeat; a worker aligns a unit once and remembers it, up to a bound.
+Units repeat; a worker aligns a unit once and remembers it, up to a bound. Beyond it the units
+met most stay, so that frequent ones are not aligned again.
 
 The corpus is read twice. The first pass counts linked pairs per task. The distinct pairs get
 a minimal perfect hash, and the counts are summed as dense vectors that it indexes. The second
@@ -18,18 +19,20 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.common import python_batches, stored
+from forgepulse.llm.common import python_batches, stored, uncollected
 from forgepulse.llm.perfect_hash import HashTable, dense_counts, hash_table
 
 # Units a worker remembers, and characters of all of them.
-MOST_UNITS, MOST_CHARS = 200_000, 4_000_000
+MOST_UNITS, MOST_CHARS = 500_000, 6_000_000
+# Units that are tokenized in one text.
+JOINED = 500
 # Texts handed to a worker at a time; Arrow's bound on bytes holds as well.
 DOCS_AT_ONCE = 1000
 PLACE = 32
@@ -99,6 +102,8 @@ class Aligner:
         self.groups: list[str] = []
         self.chars = 0
         self.valid = np.zeros(0, bool)
+        # How often each unit was met, halved whenever others are forgotten.
+        self.uses = np.zeros(0, np.int64)
         self.figures = np.zeros((0, len(FIGURES)), np.int64)
         self.pairs, self.pairs_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -106,22 +111,42 @@ class Aligner:
     def full(self) -> bool:
         return len(self.known) > MOST_UNITS or self.chars > MOST_CHARS
 
-    def places(self, texts: list[list[str]], table: HashTable | None) -> list[list[int]]:
+    def thin(self) -> None:
+        """Forget all units but those met most: half of the bounds at most, none met once."""
+        units = list(self.known)
+        order = np.argsort(-self.uses, kind="stable")[: MOST_UNITS // 2]
+        order = order[self.uses[order] > 1]
+        chars = np.cumsum(np.fromiter((len(units[k]) for k in order), np.int64, len(order)))
+        keep = np.sort(order[chars <= MOST_CHARS // 2])
+        self.known = {units[k]: at for at, k in enumerate(keep)}
+        self.chars = sum(map(len, self.known))
+        self.groups = [self.groups[k] for k in keep] if self.groups else []
+        place = np.full(len(units), -1, np.int64)
+        place[keep] = np.arange(len(keep))
+        of = place[self.pairs_of]
+        self.pairs, self.pairs_of = self.pairs[of >= 0], of[of >= 0]
+        self.valid, self.figures, self.uses = self.valid[keep], self.figures[keep], self.uses[keep] // 2
+
+    def places(self, texts: list[list[str]], table: HashTable | None) -> list[np.ndarray]:
         """The number of each unit of each text; new units are aligned first. With a table
         units are scored and their groups kept, without one their pairs are."""
-        new = list({u for units in texts for u in units}.difference(self.known))
-        for at in range(0, len(new), 20_000):
-            self.learn(new[at : at + 20_000], table)
-        return [list(map(self.known.__getitem__, units)) for units in texts]
+        new = list(set().union(*texts).difference(self.known))
+        with uncollected():
+            for at in range(0, len(new), 20_000):
+                self.learn(new[at : at + 20_000], table)
+        found = [np.fromiter(map(self.known.__getitem__, units), np.int64, len(units)) for units in texts]
+        if found:
+            self.uses += np.bincount(np.concatenate(found), minlength=len(self.uses))
+        return found
 
     def learn(self, units: list[str], table: HashTable | None) -> None:
         """Align units, all at once, as tokens laid out over one stretch of bytes."""
         first = len(self.figures)
         self.known |= {u: first + k for k, u in enumerate(units)}
         self.chars += sum(map(len, units))
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b_ids = [ids or [self.space] for ids in self.b.encode(units, num_threads=1)]
         wholes = [(" " + u).encode("utf-8", "surrogatepass") for u in units]
+        a_ids = self.a_tokens(units, wholes)
+        b_ids = [ids or [self.space] for ids in self.b.encode(units, num_threads=1)]
         valid = self.faithful(wholes, a_ids, b_ids)
         if not valid.all():
             none: list[int] = []
@@ -154,17 +179,49 @@ class Aligner:
                 figures[:, column] = sums[stops] - sums[starts]
         self.figures = np.concatenate([self.figures, figures])
         self.valid = np.concatenate([self.valid, valid])
+        self.uses = np.concatenate([self.uses, np.zeros(len(units), np.int64)])
+
+    def a_tokens(self, units: list[str], wholes: list[bytes]) -> list[list[int]]:
+        """The A ids of each unit. Units that end in a letter or sign are joined to longer texts,
+        which the tokenizer is asked for at once and which are cut where units end; a text
+        without a token's end at each of them is tokenized unit by unit, as all other units are."""
+        encode = lambda texts: [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[list[int]] = [[]] * len(units)
+        open_ended = [k for k, u in enumerate(units) if u[-1:].strip()]
+        alone = [k for k, u in enumerate(units) if not u[-1:].strip()]
+        parts = [open_ended[at : at + JOINED] for at in range(0, len(open_ended), JOINED)]
+        for part, ids in zip(parts, encode(["".join([" " + units[k] for k in part]) for part in parts]), strict=True):
+            ends = np.cumsum(self.a_sizes[ids])
+            wanted = np.cumsum([len(wholes[k]) for k in part])
+            stops = np.searchsorted(ends, wanted) + 1
+            if len(ids) and stops[-1] == len(ids) and (ends[stops - 1] == wanted).all():
+                start = 0
+                for k, stop in zip(part, stops.tolist(), strict=True):
+                    out[k], start = ids[start:stop], stop
+            else:
+                alone += part
+        for k, ids in zip(alone, encode([" " + units[k] for k in alone]), strict=True):
+            out[k] = ids
+        return out
 
     def faithful(self, wholes: list[bytes], a_ids: list[list[int]], b_ids: list[list[int]]) -> np.ndarray:
         """Whether both vocabularies give each unit back byte by byte."""
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        return np.fromiter(
-            (
-                b"".join([a_bytes[i] for i in a]) == whole == b"".join([b_bytes[i] for i in b])
-                for whole, a, b in zip(wholes, a_ids, b_ids, strict=True)
-            ),
-            bool, len(wholes),
-        )
+        size = np.fromiter(map(len, wholes), np.int64, len(wholes))
+        valid = np.ones(len(wholes), bool)
+        sides = ((a_ids, self.a_bytes, self.a_sizes), (b_ids, self.b_bytes, self.b_sizes))
+        for ids, _, sizes in sides:
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            bytes_to = np.concatenate([[0], np.cumsum(sizes[np.fromiter(chain.from_iterable(ids), np.int64)])])
+            valid &= np.diff(bytes_to[ends], prepend=0) == size
+        # Units of the right length, laid end to end: a byte that differs tells its unit.
+        for ids, entries, _ in sides:
+            rows = np.flatnonzero(valid)
+            given = b"".join(map(entries.__getitem__, chain.from_iterable(compress(ids, valid))))
+            wanted = b"".join(compress(wholes, valid))
+            if given != wanted:
+                wrong = np.flatnonzero(np.frombuffer(given, np.uint8) != np.frombuffer(wanted, np.uint8))
+                valid[rows[np.searchsorted(np.cumsum(size[rows]), wrong, side="right")]] = False
+        return valid
 
     def listed(
         self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, counts: np.ndarray
@@ -190,7 +247,7 @@ class Aligner:
         return (counts == self.best[pairs & ((1 << PLACE) - 1)]).astype(np.int64), counts
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def aligner(a_path: str, b_path: str, use: str) -> Aligner:
     """One per worker and use, whose memory so serves all its tasks."""
     import os
@@ -208,8 +265,8 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for batch in batches:
             if units.full:
                 yield linked(units, times)
-                units.forget()
-                times = times[:0]
+                units.thin()
+                times = np.zeros(len(units.figures), np.int64)
             texts = units.places([units_of(t) for t in batch["text"] if t], None)
             met = [places for places in texts if units.valid[places].all()]
             times = np.concatenate([times, np.zeros(len(units.figures) - len(times), np.int64)])
@@ -283,13 +340,13 @@ def align_documents(
         units.best = best
         for batch in batches:
             if units.full:
-                units.forget()
+                units.thin()
             split = [units_of(t) if t else [] for t in batch["text"]]
             figures, groups = np.zeros((len(split), len(FIGURES)), np.int64), []
             for k, places in enumerate(units.places(split, table)):
-                if places and units.valid[places].all():
+                if len(places) and units.valid[places].all():
                     figures[k] = units.figures[places].sum(axis=0)
-                    listed = "".join(map(units.groups.__getitem__, places))[:-1]
+                    listed = "".join(map(units.groups.__getitem__, places.tolist()))[:-1]
                     groups.append(hashlib.sha256(listed.encode()).hexdigest() if digest else listed)
                 else:
                     groups.append("")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -118,6 +119,19 @@ def python_batches(spark: SparkSession, rows: int = 200) -> Iterator[None]:
         yield
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without garbage collections, for code that makes many lists and no cycles: each of them
+    would go through all that a worker remembers."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 # At most this many rows are broadcast: with an id and a flag, some 50 MB.
 BROADCAST_ROWS = 1_000_000
 
