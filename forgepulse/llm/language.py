@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,10 @@ SMOOTHING = 0.1
 # A vector of counts has a place per language.
 MOST_LANGUAGES = 1000
 MOST_WORDS = 200_000
+# N-grams a task counts before it hands them on.
+MOST_GRAMS = 50_000
+# Words a task counts before it hands them on.
+MOST_COUNTED = 100_000
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -66,7 +71,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 seen[lang].update(words_of(text))
-            if sum(map(len, seen.values())) > MOST_WORDS:
+            if sum(map(len, seen.values())) > MOST_COUNTED:
                 yield counted(seen)
                 seen.clear()
         yield counted(seen)
@@ -80,19 +85,46 @@ def counted(seen: dict[str, Counter]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["lang", "word", "n"]).astype({"n": "int64"})
 
 
+def all_grams(word: str) -> list[str]:
+    """The n-grams of every length, of which each has as many characters as its length says."""
+    padded, size = f" {word} ", len(word) + 2
+    return [padded[k : k + length] for length in range(1, min(LONGEST, size) + 1) for k in range(size - length + 1)]
+
+
+def add_times(seen: Counter, grams: Counter, n: int) -> None:
+    if n == 1:
+        seen.update(grams)
+    else:
+        for gram, times in grams.items():
+            seen[gram] += n * times
+
+
+def hashed(seen: dict[str, Counter]) -> pd.DataFrame:
+    grams = [g for counts in seen.values() for g in counts]
+    return pd.DataFrame({
+        "lang": np.repeat(np.array([*seen], object), [*map(len, seen.values())]),
+        "length": np.fromiter(map(len, grams), np.int64, len(grams)),
+        "key": np.fromiter((key_of(len(g), g) for g in grams), np.int64, len(grams)),
+        "n": np.fromiter((n for counts in seen.values() for n in counts.values()), np.int64, len(grams)),
+    })
+
+
 def feature_counts(words: DataFrame) -> DataFrame:
     """(lang, length, key, n) of the words, at length 0, and of the n-grams of each."""
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
-            seen: Counter = Counter()
-            for lang, word, n in zip(batch["lang"], batch["word"], batch["n"], strict=True):
-                seen[lang, 0, key_of(0, word)] += n
-                for length in range(1, LONGEST + 1):
-                    for gram in grams_of(word, length):
-                        seen[lang, length, key_of(length, gram)] += n
-            rows = [(*feature, n) for feature, n in seen.items()]
-            yield pd.DataFrame(rows, columns=["lang", "length", "key", "n"])
+            keys = [key_of(0, word) for word in batch["word"]]
+            yield pd.DataFrame({"lang": batch["lang"], "length": 0, "key": keys, "n": batch["n"]})
+            # Words as frequent as each other are counted together, once.
+            for (lang, n), words in batch.groupby(["lang", "n"])["word"]:
+                grams = Counter(chain.from_iterable(map(all_grams, words)))
+                add_times(seen[lang], grams, int(n))
+            if sum(map(len, seen.values())) > MOST_GRAMS:
+                yield hashed(seen)
+                seen.clear()
+        yield hashed(seen)
 
     parts = words.mapInPandas(features, "lang string, length int, key bigint, n bigint")
     return stored(parts.groupBy("lang", "length", "key").agg(F.sum("n").alias("n")), "features")

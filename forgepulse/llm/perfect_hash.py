@@ -48,12 +48,20 @@ def bit_of(keys: np.ndarray, level: int, size: int) -> np.ndarray:
     return (mixed(keys.view(np.uint64) ^ seed) % np.uint64(size)).astype(np.int64)
 
 
+def narrow(columns: np.ndarray) -> np.ndarray:
+    """The same whole numbers in half the bytes, if they all fit."""
+    fits = np.iinfo(np.int32)
+    small = columns.size and fits.min <= columns.min() and columns.max() <= fits.max
+    return columns.astype(np.int32) if small else columns
+
+
 class Segment:
     """The function, keys and columns of one segment."""
 
     def __init__(self, sizes: np.ndarray, bits: np.ndarray, keys: np.ndarray, columns: np.ndarray):
         self.sizes, self.bits, self.keys, self.columns = sizes, bits, keys, columns
-        self.rank = np.cumsum(bits, dtype=np.int32) - bits
+        # Held for many segments at once, so in as few bytes as its numbers need.
+        self.rank = np.cumsum(bits, dtype=np.uint16 if len(keys) < 1 << 16 else np.int32) - bits
 
     @classmethod
     def of(cls, keys: np.ndarray, values: np.ndarray) -> Segment:
@@ -95,7 +103,7 @@ class Segment:
 
     def write(self, path: str) -> None:
         out = io.BytesIO()
-        np.savez(out, sizes=self.sizes, bits=np.packbits(self.bits), keys=self.keys, columns=self.columns)
+        np.savez(out, sizes=self.sizes, bits=np.packbits(self.bits), keys=self.keys, columns=narrow(self.columns))
         with opened(path, "wb") as file:
             file.write(out.getvalue())
 
