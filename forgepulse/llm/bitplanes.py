@@ -136,11 +136,12 @@ def write_ids(docs: DataFrame, path: str, vocab: str | None = None, end: int = E
         first = None
         for batch in batches:
             missing = batch["doc_id"].isna()
-            for doc_id, none, text, h in zip(batch["doc_id"], missing, batch["text"], batch["h"], strict=True):
+            texts = ids_of.each(batch["text"])
+            for doc_id, none, ids, h in zip(batch["doc_id"], missing, texts, batch["h"], strict=True):
                 key = None if none else int(doc_id)
                 if writer is None:
                     writer, first = Writer(opened(f"{path}/{name}", "wb"), kind), (key, h)
-                writer.add(key, ids_of(text) + tail)
+                writer.add(key, ids + tail)
         if writer is not None:
             writer.close()
             n_ids = sum(n for _, n in writer.docs)

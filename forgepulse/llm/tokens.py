@@ -10,10 +10,15 @@ goes through the whole tokenizer.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import cache
 from struct import pack
 
+from forgepulse.llm.common import uncollected
+
 MOST_CHUNKS = 500_000
+# Characters of the texts that are split and encoded together; a longer text is alone.
+CHARS_AT_ONCE = 1_000_000
 SPECIAL = "<|"
 
 # Letters of Latin-1 that are neither signs nor numbers.
@@ -45,21 +50,41 @@ class TokenIds:
         self.known: dict[str, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        chunks = text.replace("\n", " ").split(" ")
+        return self.together([text])[0]
+
+    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text; new chunks of neighbours are encoded together."""
+        group: list[str | None] = []
+        chars = 0
+        for text in texts:
+            group.append(text)
+            chars += len(text or "")
+            if chars > CHARS_AT_ONCE:
+                yield from self.together(group)
+                group, chars = [], 0
+        yield from self.together(group)
+
+    def together(self, texts: list[str | None]) -> list[bytes]:
+        split = [text.replace("\n", " ").split(" ") if text else [] for text in texts]
         if len(self.chunks) > MOST_CHUNKS:
             self.chunks.clear()
-        missing = set(chunks).difference(self.chunks)
+        missing = set().union(*split).difference(self.chunks)
         if missing:
-            self.learn(list(missing))
-        return b"".join(map(self.chunks.__getitem__, chunks))
+            with uncollected():
+                self.learn(list(missing))
+        return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
 
     def learn(self, chunks: list[str]) -> None:
-        plain, others = [], []
+        plain, others, split = [], [], []
         for c in chunks:
-            (plain if PLAIN.fullmatch(c) and SPECIAL not in c else others).append(c)
-        split = [PIECES.findall(c.lower()) for c in plain]
+            if c.isascii() and c.isalpha():
+                plain.append(c)
+                split.append([c.lower()])
+            elif PLAIN.fullmatch(c) and SPECIAL not in c:
+                plain.append(c)
+                split.append(PIECES.findall(c.lower()))
+            else:
+                others.append(c)
         if len(self.known) > MOST_CHUNKS:
             self.known.clear()
         fresh = list({p for pieces in split for p in pieces}.difference(self.known))
