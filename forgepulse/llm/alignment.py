@@ -30,7 +30,7 @@ from forgepulse.llm.common import python_batches, stored, uncollected
 from forgepulse.llm.perfect_hash import HashTable, dense_counts, hash_table
 
 # Units a worker remembers, and characters of all of them.
-MOST_UNITS, MOST_CHARS = 500_000, 6_000_000
+MOST_UNITS, MOST_CHARS = 300_000, 4_000_000
 # Units that are tokenized in one text.
 JOINED = 500
 # Texts handed to a worker at a time; Arrow's bound on bytes holds as well.
